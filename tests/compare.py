@@ -1,0 +1,92 @@
+"""Runs queries and their SQL side by side and reports differences.
+
+python tests/compare.py [folder] [query ...]
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from __spark_entry__ import oracle_sql, queries  # noqa: E402
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def connect(folder: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for table in TABLES:
+        con.sql(f"create view {table} as select * from '{folder}/{table}.parquet'")
+    return con
+
+
+def _value(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    return str(value)
+
+
+def _rows(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(tuple(_value(r[i]) for i in order) for r in rows), sorted(names)
+
+
+def differences(spark: SparkSession, con, folder: str, name: str) -> str:
+    """Empty when the query and its SQL agree, else what differs."""
+    frame = queries()[name](spark, folder)
+    ours, our_names = _rows(frame.columns, frame.collect())
+    relation = con.sql(oracle_sql()[name])
+    theirs, their_names = _rows(relation.columns, relation.fetchall())
+    if our_names != their_names:
+        return f"columns {our_names} / {their_names}"
+    kinds = {c: t for c, t in frame.dtypes}
+    sql_kinds = {c: str(t).lower() for c, t in zip(relation.columns, relation.types)}
+    same = {"string": "varchar"}
+    odd = [
+        (c, k, sql_kinds[c]) for c, k in kinds.items() if same.get(k, k) != sql_kinds[c]
+    ]
+    if ours != theirs:
+        extra, lacking = set(ours) - set(theirs), set(theirs) - set(ours)
+        return (
+            f"{our_names}: {len(ours)} / {len(theirs)} rows;"
+            f" only here {sorted(extra)[:3]}; only SQL {sorted(lacking)[:3]}; {odd}"
+        )
+    if not ours:
+        return "no rows"
+    return f"types {odd}" if odd else ""
+
+
+def session() -> SparkSession:
+    spark = (
+        SparkSession.builder.master("local[8]")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark
+
+
+if __name__ == "__main__":
+    folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    names = sys.argv[2:] or list(queries())
+    spark, con = session(), connect(folder)
+    for name in names:
+        start = time.perf_counter()
+        try:
+            result = differences(spark, con, folder, name)
+        except Exception as error:  # report and go on with the next query
+            result = f"{type(error).__name__}: {str(error)[:600]}"
+        print(f"{'ok  ' if not result else 'FAIL'} {time.perf_counter() - start:6.2f}s {name} {result}", flush=True)

@@ -218,63 +218,69 @@ def unmatched_products(
 # --- audit reports ----------------------------------------------------------------
 
 
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0))
+
+
 def _rejected(reason: str) -> Column:
     return F.count_if(F.col("reject_reason") == reason).alias(f"{reason}_dropped")
 
 
-_RAW = F.coalesce(F.sum("copies"), F.lit(0)).alias("raw_rows")
-_DUPLICATES = F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates_dropped")
-_CLEAN = F.count_if(F.col("reject_reason").isNull()).alias("clean_rows")
+def _raw_rows() -> Column:
+    return _total(F.col("copies")).alias("raw_rows")
+
+
+def _duplicates() -> Column:
+    return _total(F.col("copies") - 1).alias("duplicates_dropped")
+
+
+def _clean_rows() -> Column:
+    return F.count_if(F.col("reject_reason").isNull()).alias("clean_rows")
 
 
 def sales_report(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     """What happened to every raw row; one row, or one per batch."""
     return labelled.groupBy(*batch).agg(
-        _RAW,
-        _DUPLICATES,
+        _raw_rows(),
+        _duplicates(),
         _rejected(BAD_DATE),
         _rejected(BAD_QUANTITY),
         _rejected(BAD_PRICE),
         _rejected(BAD_CATEGORY),
         _rejected(BAD_PRODUCT),
-        _CLEAN,
+        _clean_rows(),
     )
 
 
 def marketing_report(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
-    """Counts fold to one row per (day, channel, outcome) first: those are the clean rows."""
+    """Counts fold to one row per (outcome, day, channel) first: the good ones are the clean rows."""
     good = F.col("reject_reason").isNull()
     folded = labelled.groupBy(*batch, "reject_reason", "spend_day", "channel").agg(
         F.sum("copies").alias("copies"), F.count("*").alias("kept")
     )
 
     def rejected(reason: str) -> Column:
-        return _total(F.when(F.col("reject_reason") == reason, F.col("kept"))).alias(
-            f"{reason}_dropped"
-        )
+        kept = F.when(F.col("reject_reason") == reason, F.col("kept"))
+        return _total(kept).alias(f"{reason}_dropped")
 
     return folded.groupBy(*batch).agg(
-        _RAW,
+        _raw_rows(),
         _total(F.col("copies") - F.col("kept")).alias("duplicates_dropped"),
         rejected(BAD_DATE),
         rejected(BAD_CHANNEL),
         rejected(NO_AMOUNT),
         _total(F.when(good, F.col("kept") - 1)).alias("rows_aggregated"),
-        _CLEAN,
+        _clean_rows(),
     )
 
 
 def returns_report(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     good = F.col("reject_reason").isNull()
     return labelled.groupBy(*batch).agg(
-        _RAW,
-        _DUPLICATES,
+        _raw_rows(),
+        _duplicates(),
         _rejected(BAD_DATE),
         _rejected(NO_AMOUNT),
         F.count_if(good & (F.col("refund_amount") < 0)).alias("negative_refund_fixed"),
-        _CLEAN,
+        _clean_rows(),
     )
-
-
-def _total(value: Column) -> Column:
-    return F.coalesce(F.sum(value), F.lit(0))

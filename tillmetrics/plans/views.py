@@ -76,20 +76,23 @@ def category_week_revenue(
     )
 
 
+def category_week_shares(
+    orders: DataFrame, dates: DataFrame, products: DataFrame, iso_year: bool = False
+) -> DataFrame:
+    """Category revenue with the category's share of its (year, week)."""
+    week = Window.partitionBy("year", "week_of_year")  # one row per category
+    whole = F.sum("revenue").over(week)
+    return category_week_revenue(orders, dates, products, iso_year).withColumn(
+        "pct_of_week", percent(F.col("revenue"), whole)
+    )
+
+
 def category_weekly(
     orders: DataFrame, dates: DataFrame, products: DataFrame, iso_year: bool = False
 ) -> DataFrame:
     """Category revenue per week and its share of that week."""
-    week = Window.partitionBy("year", "week_of_year")
-    return (
-        category_week_revenue(orders, dates, products, iso_year)
-        .withColumn("week_revenue", F.sum("revenue").over(week))
-        .select(
-            "week_start",
-            "category",
-            F.round("revenue", 2).alias("revenue"),
-            percent(F.col("revenue"), F.col("week_revenue")).alias("pct_of_week"),
-        )
+    return category_week_shares(orders, dates, products, iso_year).select(
+        "week_start", "category", F.round("revenue", 2).alias("revenue"), "pct_of_week"
     )
 
 
