@@ -123,15 +123,18 @@ CTES = {
     "hdr": """select o_orderkey as order_id, o_custkey as account_id,
         cast(o_orderdate as date) as order_day, o_totalprice from orders""",
     "li": """select *, h * 2 as line_id from (
-        select l_orderkey as order_id, l_partkey as product_id,
-            cast(round(l_quantity) as bigint) as quantity,
-            cast(floor(l_extendedprice * 100 / l_quantity) as bigint) as cents,
-            cast(round(l_discount * 1000) as bigint) as disc,
-            l_returnflag = 'R' as returned,
-            cast('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                cast(round(l_quantity) as bigint), cast(round(l_extendedprice * 100) as bigint),
-                cast(round(l_discount * 1000) as bigint))), 1, 15) as bigint) as h
-        from lineitem)""",
+        select *,
+            ((999983 * order_id + 700001 * l_linenumber + 610639 * product_id + 523777 * l_suppkey
+                + 411001 * cents + 304729 * disc) % 1073741789) * 1073741824
+            + (882377 * order_id + 762121 * l_linenumber + 655357 * product_id + 444443 * l_suppkey
+                + 333331 * cents + 222199 * disc) % 1073741783 as h
+        from (select l_orderkey as order_id, l_partkey as product_id,
+                cast(l_linenumber as bigint) as l_linenumber, l_suppkey,
+                cast(round(l_quantity) as bigint) as quantity,
+                cast(floor(l_extendedprice * 100 / l_quantity) as bigint) as cents,
+                cast(round(l_discount * 1000) as bigint) as disc,
+                l_returnflag = 'R' as returned
+            from lineitem))""",
     "lo": f"""select li.*, account_id, order_day, {_REVENUE} as rev
         from li join hdr using (order_id)""",
     "cust": """select -1 as customer_id, 'Guest Checkout' as full_name,
