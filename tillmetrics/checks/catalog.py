@@ -17,6 +17,7 @@ from tillmetrics.functions import columns as fn
 from tillmetrics.operators import calendar as cal
 from tillmetrics.operators import clean, lookup, quality
 from tillmetrics.plans import findings, pipeline, views
+from tillmetrics.session import prepare
 from tillmetrics.sources.export import export_csv, read_csv, row_counts
 from tillmetrics.sources.market import GUEST_ID, Market
 from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder
@@ -46,7 +47,7 @@ def query(build: Callable[[Market], DataFrame]) -> Callable[[Market], DataFrame]
     """Registers a function of the market under its own name."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain(build(Market(spark, folder)))
+        return plain(build(Market(prepare(spark), folder)))
 
     QUERIES[build.__name__] = run
     return build
