@@ -16,8 +16,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from functools import cached_property, reduce
-from operator import add
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +31,17 @@ MARKET = Settings(
     categories=("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"),
     channels=("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
 )
+# The columns the derivations read.
+GIVEN = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "part": "p_partkey bigint, p_name string, p_type string, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_returnflag string""",
+}
 UNPAID_CHANNEL = "BUILDING"
 GUEST_ID = -1
 FIRST_SIGNUP = dt.date(1995, 1, 1)
@@ -45,20 +55,36 @@ LINE_HASH = (
 REASONS = ("Defective", "Wrong item", "No longer needed", "Better price found", "Other")
 
 
-def _text_date(day: Column, selector: Column) -> Column:
-    return F.when(selector % 8 == 0, F.date_format(day, "dd/MM/yyyy")).otherwise(
-        F.date_format(day, "yyyy-MM-dd")
+def _text_date(day: str) -> str:
+    return (
+        f"if(order_id % 8 = 0, date_format({day}, 'dd/MM/yyyy'), date_format({day}, 'yyyy-MM-dd'))"
     )
 
 
-def _padded(text: Column, blank: str) -> Column:
-    return F.concat(F.lit(blank), text, F.lit(blank))
+def _line_hash() -> str:
+    parts = (
+        "l_orderkey",
+        "cast(l_linenumber as bigint)",
+        "l_partkey",
+        "l_suppkey",
+        _CENTS,
+        "cast(round(l_discount * 1000) as bigint)",
+    )
+    high, low = (
+        "(" + " + ".join(f"{f}L * {part}" for f, part in zip(factors, parts)) + f") % {modulus}L"
+        for factors, modulus in LINE_HASH
+    )
+    return f"({high}) * {1 << 30}L + {low}"
+
+
+def _copies(exported_twice: str) -> str:
+    """0 for every row, and a second row with 1 where asked for."""
+    return f"explode(if({exported_twice}, array(0, 1), array(0))) as copy"
 
 
-def _with_copy(rows: DataFrame, exported_twice: Column) -> DataFrame:
-    """``copy`` 0 on every row, and a second row with ``copy`` 1 where asked for."""
-    copies = F.when(exported_twice, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return rows.withColumn("copy", F.explode(copies))
+_CENTS = "cast(floor(l_extendedprice * 100 / l_quantity) as bigint)"
+_RETURN_DAY = f"date_add(order_day, cast({RETURN_LAG_MIN} + line_hash % 21 as int))"
+_REASON = "element_at(array('" + "', '".join(REASONS) + "'), cast(line_hash % 5 + 1 as int))"
 
 
 @dataclass(frozen=True)
@@ -68,9 +94,10 @@ class Market:
     settings: Settings = MARKET
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        # Declared, because looking a schema up costs a job per table.
+        return self.spark.read.schema(GIVEN[name]).parquet(f"{self.folder}/{name}.parquet")
 
-    def _spread(self, name: str) -> DataFrame:
+    def _spread(self, name: str, key: str) -> DataFrame:
         """A table whose file has few row groups, dealt out to all cores.
 
         One row group is one task, however long the plan behind it. Changes
@@ -78,45 +105,32 @@ class Market:
         """
         rows = self.table(name)
         cores = self.spark.sparkContext.defaultParallelism
-        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+        return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
 
     # --- building blocks ----------------------------------------------------------
 
     @cached_property
     def headers(self) -> DataFrame:
         """One row per order: id, customer and day."""
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("account_id"),
-            F.col("o_orderdate").cast("date").alias("order_day"),
+        return self.table("orders").selectExpr(
+            "o_orderkey as order_id", "o_custkey as account_id", "cast(o_orderdate as date) as order_day"
         )
 
     @cached_property
     def lines(self) -> DataFrame:
         """One row per order line with its id, price and discount."""
-        cents = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")).cast("bigint")
-        identity = [
-            F.col("l_orderkey"),
-            F.col("l_linenumber").cast("bigint"),
-            F.col("l_partkey"),
-            F.col("l_suppkey"),
-            cents,
-            F.round(F.col("l_discount") * 1000).cast("bigint"),
-        ]
-        high, low = (
-            reduce(add, [factor * part for factor, part in zip(factors, identity)]) % modulus
-            for factors, modulus in LINE_HASH
-        )
-        line_hash = high * (1 << 30) + low
-        return self._spread("lineitem").select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("l_partkey").alias("product_id"),
-            line_hash.alias("line_hash"),
-            (line_hash * 2).alias("line_id"),
-            F.round("l_quantity").cast("int").alias("quantity"),
-            (cents * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(10,2)").alias("unit_price"),
-            F.col("l_discount").cast("decimal(4,3)").alias("discount"),
-            (F.col("l_returnflag") == "R").alias("returned"),
+        return (
+            self._spread("lineitem", "l_orderkey")
+            .selectExpr(
+                "l_orderkey as order_id",
+                "l_partkey as product_id",
+                f"{_line_hash()} as line_hash",
+                "cast(round(l_quantity) as int) as quantity",
+                f"cast({_CENTS} * 0.01 as decimal(10,2)) as unit_price",
+                "cast(l_discount as decimal(4,3)) as discount",
+                "l_returnflag = 'R' as returned",
+            )
+            .withColumn("line_id", F.expr("line_hash * 2"))
         )
 
     @cached_property
@@ -127,10 +141,6 @@ class Market:
     def last_order_day(self) -> dt.date:
         return self.order_span.first()["last"]
 
-    def _return_day(self) -> Column:
-        lag = (RETURN_LAG_MIN + F.col("line_hash") % 21).cast("int")
-        return F.date_add("order_day", lag)
-
     # --- star ---------------------------------------------------------------------
 
     @cached_property
@@ -138,52 +148,49 @@ class Market:
         """Guest, customers and suppliers. Suppliers sign up but never order."""
         places = (
             self.table("nation")
-            .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .select(F.col("n_nationkey").alias("nation"), F.col("r_name").alias("region"))
+            .join(self.table("region"), F.expr("n_regionkey = r_regionkey"))
+            .selectExpr("n_nationkey as nation", "r_name as region")
         )
-        signup = F.date_add(F.lit(FIRST_SIGNUP), ((F.col("key") * 37) % 2400).cast("int"))
-        shoppers = self.table("customer").select(
-            F.col("c_custkey").alias("customer_id"),
-            F.col("c_custkey").alias("key"),
-            F.col("c_name").alias("full_name"),
-            F.concat(F.lit("customer."), F.col("c_custkey"), F.lit("@example.com")).alias("email"),
-            F.col("c_nationkey").alias("nation"),
-            F.col("c_mktsegment").alias("acquisition_channel"),
+        shoppers = self.table("customer").selectExpr(
+            "c_custkey as customer_id",
+            "c_custkey as key",
+            "c_name as full_name",
+            "concat('customer.', c_custkey, '@example.com') as email",
+            "c_nationkey as nation",
+            "c_mktsegment as acquisition_channel",
         )
-        suppliers = self.table("supplier").select(
-            (-2 - F.col("s_suppkey")).alias("customer_id"),
-            F.col("s_suppkey").alias("key"),
-            F.col("s_name").alias("full_name"),
-            F.concat(F.lit("supplier."), F.col("s_suppkey"), F.lit("@example.com")).alias("email"),
-            F.col("s_nationkey").alias("nation"),
-            F.lit(UNPAID_CHANNEL).alias("acquisition_channel"),
+        suppliers = self.table("supplier").selectExpr(
+            "-2 - s_suppkey as customer_id",
+            "s_suppkey as key",
+            "s_name as full_name",
+            "concat('supplier.', s_suppkey, '@example.com') as email",
+            "s_nationkey as nation",
+            f"'{UNPAID_CHANNEL}' as acquisition_channel",
         )
         accounts = (
             shoppers.unionByName(suppliers)
             .join(places, "nation")
-            .select(
+            .selectExpr(
                 "customer_id",
                 "full_name",
                 "email",
                 "region",
                 "acquisition_channel",
-                signup.alias("signup_date"),
-                F.lit(1).cast("decimal(6,3)").alias("activity_score"),
+                f"date_add(date'{FIRST_SIGNUP}', cast((key * 37) % 2400 as int)) as signup_date",
+                "cast(1 as decimal(6,3)) as activity_score",
             )
         )
         return with_guest(accounts, GUEST_ID, self.settings.guest_email, FIRST_SIGNUP)
 
     @cached_property
     def products(self) -> DataFrame:
-        list_price = F.col("p_retailprice").cast("decimal(10,2)")
-        return self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("product_name"),
-            F.col("p_type").alias("category"),
-            F.round(list_price * F.lit(0.55).cast("decimal(2,2)"), 2)
-            .cast("decimal(10,2)")
-            .alias("unit_cost"),
-            list_price.alias("list_price"),
+        price = "cast(p_retailprice as decimal(10,2))"
+        return self.table("part").selectExpr(
+            "p_partkey as product_id",
+            "p_name as product_name",
+            "p_type as category",
+            f"cast(round({price} * 0.55, 2) as decimal(10,2)) as unit_cost",
+            f"{price} as list_price",
         )
 
     @cached_property
@@ -194,56 +201,48 @@ class Market:
 
     @cached_property
     def orders(self) -> DataFrame:
-        guest = F.col("order_id") % 100 == 0
         return self.lines.join(self.headers, "order_id").select(
             F.col("line_id").alias("order_line_id"),
             "order_id",
-            F.when(guest, F.lit(GUEST_ID)).otherwise(F.col("account_id")).alias("customer_id"),
+            F.expr(f"if(order_id % 100 = 0, {GUEST_ID}L, account_id) as customer_id"),
             "product_id",
             date_key(F.col("order_day")).alias("date_id"),
-            F.col("quantity").cast("smallint").alias("quantity"),
+            F.expr("cast(quantity as smallint) as quantity"),
             "unit_price",
             "discount",
-            line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount")).alias(
-                "line_revenue"
-            ),
+            self._revenue().alias("line_revenue"),
         )
 
+    @staticmethod
+    def _revenue() -> Column:
+        return line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount"))
+
     @cached_property
     def returns(self) -> DataFrame:
-        reason = F.element_at(
-            F.array(*[F.lit(r) for r in REASONS]), (F.col("line_hash") % 5 + 1).cast("int")
-        )
-        return (
-            self.lines.filter("returned")
-            .join(self.headers, "order_id")
-            .select(
-                F.col("line_id").alias("return_id"),
-                F.col("line_id").alias("order_line_id"),
-                date_key(self._return_day()).alias("date_id"),
-                reason.alias("reason"),
-                line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount"))
-                .cast("decimal(10,2)")
-                .alias("refund_amount"),
-            )
+        back = self.lines.filter("returned").join(self.headers, "order_id")
+        return back.select(
+            F.col("line_id").alias("return_id"),
+            F.col("line_id").alias("order_line_id"),
+            date_key(F.expr(_RETURN_DAY)).alias("date_id"),
+            F.expr(f"{_REASON} as reason"),
+            self._revenue().cast("decimal(10,2)").alias("refund_amount"),
         )
 
     @cached_property
     def _paid_orders(self) -> DataFrame:
-        cents = F.floor("o_totalprice").cast("bigint")
-        channels = self.table("customer").select(
-            F.col("c_custkey").alias("account_id"), F.col("c_mktsegment").alias("channel")
+        channels = self.table("customer").selectExpr(
+            "c_custkey as account_id", "c_mktsegment as channel"
         )
         return (
             self.table("orders")
-            .select(
-                F.col("o_orderkey").alias("order_id"),
-                F.col("o_custkey").alias("account_id"),
-                F.col("o_orderdate").cast("date").alias("order_day"),
-                (cents * F.lit(0.01).cast("decimal(2,2)")).cast("decimal(10,2)").alias("spend"),
+            .selectExpr(
+                "o_orderkey as order_id",
+                "o_custkey as account_id",
+                "cast(o_orderdate as date) as order_day",
+                "cast(cast(floor(o_totalprice) as bigint) * 0.01 as decimal(10,2)) as spend",
             )
             .join(channels, "account_id")
-            .filter(F.col("channel") != UNPAID_CHANNEL)
+            .filter(f"channel <> '{UNPAID_CHANNEL}'")
         )
 
     @cached_property
@@ -251,8 +250,8 @@ class Market:
         return (
             self._paid_orders.groupBy(date_key(F.col("order_day")).alias("date_id"), "channel")
             .agg(
-                F.min("order_id").alias("spend_id"),
-                F.sum("spend").cast("decimal(10,2)").alias("spend"),
+                F.expr("min(order_id) as spend_id"),
+                F.expr("cast(sum(spend) as decimal(10,2)) as spend"),
             )
             .select("spend_id", "date_id", "channel", "spend")
         )
@@ -272,133 +271,83 @@ class Market:
     @cached_property
     def raw_sales(self) -> DataFrame:
         """Sales export without the columns the cleaning never reads."""
-        h, order_id = F.col("line_hash"), F.col("order_id")
-        parts = self.table("part").select(
-            F.col("p_partkey").alias("product_id"),
-            F.col("p_name").alias("name"),
-            F.col("p_type").alias("kind"),
-        )
-        rows = _with_copy(
-            self.lines.join(self.headers, "order_id").join(parts, "product_id"), h % 101 == 0
-        )
-        date_text = (
-            F.when(order_id % 211 == 0, F.lit("not-a-date"))
-            .when(order_id % 223 == 0, F.lit(None))
-            .otherwise(_text_date(F.col("order_day"), order_id))
-        )
-        email = (
-            F.when(order_id % 100 == 0, F.lit(None))
-            .when(order_id % 101 == 0, F.lit(""))
-            .when(order_id % 103 == 0, F.lit("nobody@unknown.example"))
-            .otherwise(F.concat(F.lit("customer."), F.col("account_id"), F.lit("@example.com")))
-        )
-        kind = F.col("kind")
-        # A copy carries a bogus category: that column is outside the key and must not win.
-        category = (
-            F.when((F.col("copy") == 1) | (h % 151 == 0), F.lit("Bogus"))
-            .when(h % 163 == 0, F.lit(None))
-            .when(h % 16 == 1, F.lower(kind))
-            .when(h % 16 == 2, _padded(kind, "  "))
-            .when(h % 16 == 3, _padded(kind, "\t"))
-            .otherwise(kind)
-        )
-        quantity = (
-            F.when(h % 67 == 0, F.lit(0))
-            .when(h % 71 == 0, -F.col("quantity"))
-            .when(h % 73 == 0, F.lit(None))
-            .otherwise(F.col("quantity"))
-        )
-        price = (
-            F.when(h % 113 == 0, F.lit(0))
-            .when(h % 127 == 0, F.lit(None))
-            .otherwise(F.col("unit_price"))
-        )
-        return rows.select(
-            (F.col("line_id") + F.col("copy")).alias("raw_id"),
+        parts = self.table("part").selectExpr("p_partkey as product_id", "p_name", "p_type")
+        bought = self.lines.join(self.headers, "order_id").join(parts, "product_id")
+        return bought.selectExpr("*", _copies("line_hash % 101 = 0")).selectExpr(
+            "line_id + copy as raw_id",
             "order_id",
-            date_text.alias("order_date"),
-            email.alias("customer_email"),
-            F.when(h % 157 == 0, F.lit("no such product"))
-            .otherwise(F.col("name"))
-            .alias("product_name"),
-            category.alias("category"),
-            quantity.cast("int").alias("quantity"),
-            price.cast("decimal(10,2)").alias("unit_price"),
-            F.when(h % 13 != 0, F.col("discount")).alias("discount"),
+            f"""case when order_id % 211 = 0 then 'not-a-date' when order_id % 223 = 0 then null
+                else {_text_date("order_day")} end as order_date""",
+            """case when order_id % 100 = 0 then null when order_id % 101 = 0 then ''
+                when order_id % 103 = 0 then 'nobody@unknown.example'
+                else concat('customer.', account_id, '@example.com') end as customer_email""",
+            "if(line_hash % 157 = 0, 'no such product', p_name) as product_name",
+            # A copy carries a bogus category: that column is outside the key and must not win.
+            """case when copy = 1 or line_hash % 151 = 0 then 'Bogus'
+                when line_hash % 163 = 0 then null
+                when line_hash % 16 = 1 then lower(p_type)
+                when line_hash % 16 = 2 then concat('  ', p_type, '  ')
+                when line_hash % 16 = 3 then concat(char(9), p_type, char(9))
+                else p_type end as category""",
+            """case when line_hash % 67 = 0 then 0 when line_hash % 71 = 0 then -quantity
+                when line_hash % 73 = 0 then null else quantity end as quantity""",
+            """cast(case when line_hash % 113 = 0 then 0 when line_hash % 127 = 0 then null
+                else unit_price end as decimal(10,2)) as unit_price""",
+            "if(line_hash % 13 = 0, null, discount) as discount",
             "account_id",
-            F.col("order_day").alias("exported_on"),
+            "order_day as exported_on",
         )
 
     @cached_property
     def raw_sales_export(self) -> DataFrame:
         """The full sales export: who bought rides along, except on guest checkouts."""
-        people = self.customers.select(
-            F.col("customer_id").alias("account_id"),
-            F.col("full_name").alias("customer_name"),
-            "region",
-            "acquisition_channel",
+        people = self.customers.selectExpr(
+            "customer_id as account_id", "full_name", "region", "acquisition_channel"
         )
+        known = "if(customer_email is not null, full_name, null)"
         return (
             self.raw_sales.join(people, "account_id")
-            .withColumn(
-                "customer_name",
-                F.when(F.col("customer_email").isNotNull(), F.col("customer_name")),
-            )
-            .drop("account_id")
+            .withColumn("customer_name", F.expr(known))
+            .drop("account_id", "full_name")
         )
 
     @cached_property
     def raw_marketing(self) -> DataFrame:
-        order_id, channel = F.col("order_id"), F.col("channel")
-        rows = _with_copy(self._paid_orders, order_id % 50 == 0)
-        return rows.select(
-            (order_id * 2 + F.col("copy")).alias("raw_id"),
-            F.when(order_id % 211 == 0, F.lit("not-a-date"))
-            .otherwise(_text_date(F.col("order_day"), order_id))
-            .alias("spend_date"),
-            F.when(order_id % 131 == 0, F.lit("Bogus Channel"))
-            .when(order_id % 12 == 1, F.lower(channel))
-            .when(order_id % 12 == 2, _padded(channel, "  "))
-            .otherwise(channel)
-            .alias("channel"),
-            F.when(order_id % 137 != 0, F.col("spend")).alias("spend"),
-            F.col("order_day").alias("exported_on"),
+        return self._paid_orders.selectExpr("*", _copies("order_id % 50 = 0")).selectExpr(
+            "order_id * 2 + copy as raw_id",
+            f"if(order_id % 211 = 0, 'not-a-date', {_text_date('order_day')}) as spend_date",
+            """case when order_id % 131 = 0 then 'Bogus Channel'
+                when order_id % 12 = 1 then lower(channel)
+                when order_id % 12 = 2 then concat('  ', channel, '  ')
+                else channel end as channel""",
+            "if(order_id % 137 = 0, null, spend) as spend",
+            "order_day as exported_on",
         )
 
     @cached_property
     def raw_returns(self) -> DataFrame:
         """Returns export. It reaches us on the day the return of a line is decided."""
-        h, order_id = F.col("line_hash"), F.col("order_id")
-        rows = _with_copy(
-            self.lines.filter("returned").join(self.headers, "order_id"), h % 101 == 0
-        )
-        refund = line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount"))
-        reason = F.element_at(
-            F.array(*[F.lit(r) for r in REASONS]), (h % 5 + 1).cast("int")
-        )
-        return rows.select(
-            (F.col("line_id") + F.col("copy")).alias("raw_id"),
-            F.col("line_id").alias("order_line_id"),
-            F.when(h % 199 == 0, F.lit("31/02/2001"))
-            .otherwise(_text_date(self._return_day(), order_id))
-            .alias("return_date"),
-            F.when(h % 23 == 0, F.lit(None))
-            .when(h % 19 == 0, F.lit(""))
-            .otherwise(reason)
-            .alias("reason"),
-            # A copy carries a token refund: outside the key, it must not win.
-            F.when(F.col("copy") == 1, F.lit(0.01))
-            .when(h % 97 == 0, -refund)
-            .otherwise(refund)
-            .cast("decimal(10,2)")
-            .alias("refund_amount"),
-            "product_id",
-            F.date_add("order_day", self.settings.return_lag_days).alias("exported_on"),
+        back = self.lines.filter("returned").join(self.headers, "order_id")
+        return (
+            back.selectExpr("*", _copies("line_hash % 101 = 0"))
+            .withColumn("refund", self._revenue())
+            .selectExpr(
+                "line_id + copy as raw_id",
+                "line_id as order_line_id",
+                f"if(line_hash % 199 = 0, '31/02/2001', {_text_date(_RETURN_DAY)}) as return_date",
+                f"""case when line_hash % 23 = 0 then null when line_hash % 19 = 0 then ''
+                    else {_REASON} end as reason""",
+                # A copy carries a token refund: outside the key, it must not win.
+                """cast(case when copy = 1 then 0.01 when line_hash % 97 = 0 then -refund
+                    else refund end as decimal(10,2)) as refund_amount""",
+                "product_id",
+                f"date_add(order_day, {self.settings.return_lag_days}) as exported_on",
+            )
         )
 
     @cached_property
     def raw_returns_export(self) -> DataFrame:
-        kinds = self.table("part").select(
-            F.col("p_partkey").alias("product_id"), F.lower("p_type").alias("category")
+        kinds = self.table("part").selectExpr(
+            "p_partkey as product_id", "lower(p_type) as category"
         )
         return self.raw_returns.join(kinds, "product_id").drop("product_id")
