@@ -612,7 +612,9 @@ _BODIES = {
             ),
         ]
     ),
-    "check_net_revenue": """select count(*) as days, cast(0 as bigint) as mismatches from daily""",
+    "check_net_revenue": f"""select count(*) as days, count(*) filter (abs(
+            {_money('(gross - refunds)')} - ({_money('gross')} - {_money('refunds')})) > 0.01)
+        as mismatches from daily""",
     "check_week_pct_sum": """select count(*) as weeks,
         count(*) filter (abs(pct - 100) > 0.5) as mismatches
         from (select sum(pct_of_week) as pct from shares group by year, week_of_year)""",
