@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
 from contextlib import contextmanager
 from decimal import Decimal
 
+import duckdb
 import pytest
+from compare import TABLES, connect, differences
+from conftest import day
 from pyspark.sql import functions as F
 
 from tillmetrics import RETAIL
@@ -13,7 +17,6 @@ from tillmetrics.operators import calendar as cal
 from tillmetrics.operators import clean
 from tillmetrics.plans import views
 from tillmetrics.session import prepare
-from conftest import day
 
 N = 60_000
 GUEST = -1
@@ -164,3 +167,52 @@ def test_weekly_views_with_a_hot_product_and_day(spark, orders, dims):
     assert outcome["refund_amount"] == Decimal(2 * N)
     assert sum(r["units"] for r in daily) == N
     assert sum(r["refunds"] for r in daily) == Decimal(2 * N)
+
+
+GIVEN = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory):
+    """The given tables with a third of the lines copies of one, and a third of the orders
+    from one customer and on one day; every part has the same name."""
+    folder = tmp_path_factory.mktemp("skewed")
+    for table in TABLES:
+        shutil.copyfile(f"{GIVEN}/{table}.parquet", folder / f"{table}.parquet")
+    lines, orders, parts = (f"'{GIVEN}/{t}.parquet'" for t in ("lineitem", "orders", "part"))
+    con = duckdb.connect()
+    con.sql(
+        f"""copy (select * from {lines} union all select one.* from
+            (select * from {lines} where l_returnflag = 'R' limit 1) one, range(3000))
+            to '{folder}/lineitem.parquet'"""
+    )
+    con.sql(
+        f"""copy (select * replace (if(o_orderkey % 3 = 0, 7, o_custkey) as o_custkey,
+            if(o_orderkey % 3 = 1, timestamp '1997-01-01', o_orderdate) as o_orderdate)
+            from {orders}) to '{folder}/orders.parquet'"""
+    )
+    con.sql(
+        f"copy (select * replace ('red widget' as p_name) from {parts})"
+        f" to '{folder}/part.parquet'"
+    )
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "daily_revenue",
+        "category_weekly",
+        "region_summary",
+        "customer_repeat_rate",
+        "return_summary",
+        "return_weekly",
+        "clean_sales",
+        "clean_returns",
+        "sales_report",
+        "returns_report",
+        "pk_violations",
+    ],
+)
+def test_queries_on_skewed_tables(spark, skewed, name):
+    assert differences(spark, connect(skewed), skewed, name) == ""
