@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from tillmetrics.llm import license_scan
+from tillmetrics.llm import chat_format, language_id, license_scan, simhash_dedup
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
+    "op2_chat_format": chat_format.op2_chat_format,
+    "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
+    "op8_language_id": language_id.op8_language_id,
 }
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
+    "op2_chat_format": chat_format.SQL,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,11 +29,13 @@ def words(text: Column | str) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Sets the context's checkpoint folder from spark.checkpoint.dir where nothing has set it yet."""
+    """The checkpoint folder; on a single machine without a setting, as in tests, one of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+            if not context.master.startswith("local") or "cluster" in context.master:
+                raise ValueError("spark.checkpoint.dir names no folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
         context.setCheckpointDir(folder)
     return context.getCheckpointDir()
