@@ -23,13 +23,14 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, groupby
 from pathlib import Path
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tillmetrics.llm.text import table, whole
 
@@ -254,8 +255,9 @@ def _cut(leaf: int) -> Callable:
 
 def _encode_leaves(vocabulary) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(vocabulary.value)
+        tokenizer = None
         for batch in batches:
+            tokenizer = tokenizer or load(vocabulary.value)
             for i, piece in enumerate(batch.column("piece").to_pylist()):
                 own = tokens_of(tokenizer, piece)
                 sides = list(zip(*own)) or [(), (), ()]
@@ -268,23 +270,33 @@ def _encode_leaves(vocabulary) -> Callable:
     return run
 
 
-def _join_leaves(vocabulary, kept: list[str], with_ids: bool) -> Callable:
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        tokenizer = load(vocabulary.value)
-        copies = int((group["leaf"] == 0).sum())  # rows repeated in the table share their leaves
-        leaves = group.drop_duplicates("leaf").sort_values("leaf")
+def _join_leaves(vocabulary, kept: list[str], with_ids: bool, out: str) -> Callable:
+    names = [*kept, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
+    schema = to_arrow_schema(T._parse_datatype_string(out))
+
+    def joined(tokenizer, decimal: list[str], leaves: list[dict]) -> dict:
         ids = concatenate(
             tokenizer,
-            [
-                (r.piece, list(zip(r.ids.tolist(), r.starts.tolist(), r.ends.tolist())))
-                for r in leaves.itertuples()
-            ],
+            [(r["piece"], list(zip(r["ids"], r["starts"], r["ends"]))) for r in leaves],
         )
-        n, a, b = _digests(tokenizer, _names(tokenizer), ids)
-        row = {c: leaves[c].iloc[0] for c in kept}
-        row |= {"n_tokens": n, "ids_sha256": a, "decoded_sha256": b}
-        row |= {"ids": ids} if with_ids else {}
-        return pd.DataFrame([row] * copies)
+        made = (*_digests(tokenizer, decimal, ids), ids)
+        return dict(zip(names, [*[leaves[0][c] for c in kept], *made]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = chain.from_iterable(b.to_pylist() for b in batches)
+        tokenizer = decimal = None
+        for _, group in groupby(rows, key=lambda r: r["row_key"]):
+            if tokenizer is None:
+                tokenizer = load(vocabulary.value)
+                decimal = _names(tokenizer)
+            leaves: dict[int, dict] = {}
+            copies = 0  # rows repeated in the table share their leaves
+            for r in group:
+                copies += r["leaf"] == 0
+                leaves.setdefault(r["leaf"], r)
+            yield pa.RecordBatch.from_pylist(
+                [joined(tokenizer, decimal, list(leaves.values()))] * copies, schema
+            )
 
     return run
 
@@ -309,9 +321,8 @@ def encode(
         f"{own}, row_key long, leaf int, piece string, "
         "ids array<int>, starts array<int>, ends array<int>",
     )
-    long = encoded.groupBy(*keep, "row_key").applyInPandas(
-        _join_leaves(vocabulary, list(keep), with_ids), out
-    )
+    together = encoded.repartition("row_key").sortWithinPartitions("row_key", "leaf")
+    long = together.mapInArrow(_join_leaves(vocabulary, list(keep), with_ids, out), out)
     return short.unionByName(long)
 
 
