@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
-from tillmetrics.llm import bpe_tree, chat_format, language_id, license_scan, simhash_dedup, suffix_dedup
+from tillmetrics.llm import (
+    bpe_tree,
+    chat_format,
+    html_wrapper,
+    language_id,
+    license_scan,
+    simhash_dedup,
+    suffix_dedup,
+)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_chat_format": chat_format.op2_chat_format,
+    "op3_html_wrapper": html_wrapper.op3_html_wrapper,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op8_language_id": language_id.op8_language_id,
