@@ -5,6 +5,7 @@ from __future__ import annotations
 from tillmetrics.llm import (
     bpe_tree,
     chat_format,
+    decontaminate,
     html_wrapper,
     language_id,
     license_scan,
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_chat_format": chat_format.op2_chat_format,
     "op3_html_wrapper": html_wrapper.op3_html_wrapper,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op8_language_id": language_id.op8_language_id,
@@ -24,4 +26,5 @@ QUERIES = {
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
     "op2_chat_format": chat_format.SQL,
+    "op4_decontaminate": decontaminate.SQL,
 }
