@@ -10,6 +10,7 @@ from tillmetrics.llm import (
     language_id,
     license_scan,
     simhash_dedup,
+    spotsigs,
     suffix_dedup,
 )
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_html_wrapper": html_wrapper.op3_html_wrapper,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_suffix_dedup": suffix_dedup.op5_suffix_dedup,
+    "op6_spotsigs": spotsigs.op6_spotsigs,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op8_language_id": language_id.op8_language_id,
     "op10_bpe_tree": bpe_tree.op10_bpe_tree,
