@@ -12,6 +12,7 @@ from tillmetrics.llm import (
     simhash_dedup,
     spotsigs,
     suffix_dedup,
+    warc_derive,
 )
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
     "op6_spotsigs": spotsigs.op6_spotsigs,
     "op7_simhash_dedup": simhash_dedup.op7_simhash_dedup,
     "op8_language_id": language_id.op8_language_id,
+    "op9_warc_derive": warc_derive.op9_warc_derive,
     "op10_bpe_tree": bpe_tree.op10_bpe_tree,
 }
 ORACLES = {
