@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import math
+import re
+
+import duckdb
+import pytest
+
+from tillmetrics.llm import license_scan as L
+
+from .conftest import prose
+
+SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def brute(text):
+    """Every template against every block; phrases by plain search."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    w = [x for x in re.split(SPLIT, low) if x]
+    places = [
+        (i, k) for k, p in L.BASE for i in range(len(w)) if w[i : i + len(p.split())] == p.split()
+    ]
+    shares = {}
+    for at in range(0, len(w), L.STRIDE):
+        block = set(w[at : at + 2 * L.STRIDE])
+        for k, p in L.NOTICES:
+            tokens = set(p.split())
+            if len(tokens & block) >= math.ceil(L.THRESHOLD * len(tokens)):
+                shares[k] = max(shares.get(k, 0), len(tokens & block) / len(tokens))
+    base = {k for _, k in places}
+    return (
+        len(w),
+        len(places),
+        min((i for i, _ in places), default=None),
+        max((i for i, _ in places), default=None),
+        ",".join(sorted(base)),
+        ",".join(sorted(base | set(shares))),
+        max([*shares.values(), *[1.0 for _ in base]], default=0.0),
+    )
+
+
+@pytest.fixture(scope="module")
+def texts():
+    import random
+
+    dice = random.Random(4)
+    notices = [p for _, p in L.NOTICES + L.BASE]
+    made = [None, "", " \n", "MIT License", "mit\nLICENSE. cc-by, CC BY", "mitlicense xmit license"]
+    made += ["ＭIT license ÉGNU General Public License mit licénse", "GNU general public licenſe"]
+    made += ["apacHe license " * 3, "gnu general public " * 40 + "license", "mit Kelvin licenKe"]
+    for _ in range(60):
+        parts = [prose(dice, dice.randrange(60)) for _ in range(3)]
+        words = dice.choice(notices).split()
+        for _ in range(dice.randrange(3)):
+            words[dice.randrange(len(words))] = "other"
+        parts.insert(dice.randrange(4), " ".join(words).upper())
+        made.append(" ".join(parts))
+    made.append(prose(dice, 20_000) + " Released under the MIT License.")
+    return made
+
+
+def test_all_blocks_against_all_templates(documents, texts):
+    rows = list(enumerate(texts)) + [(3, texts[3]), (None, texts[4])]
+    found = L.scan(documents(rows)).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *map(str, r[1:]))
+    want = [(i, *brute(t)) for i, t in rows]
+    assert sorted(map(tuple, found), key=key) == sorted(want, key=key)
+
+
+def test_sql_says_the_same(documents, texts, folder):
+    path = folder(documents=documents(list(enumerate(texts))))
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{path}/documents.parquet/*.parquet'")
+    want = [(i, *brute(t)) for i, t in enumerate(texts)]
+    assert sorted(con.sql(L.SQL).fetchall()) == sorted(want, key=lambda r: r[0])
+
+
+def test_empty_table_and_other_columns(documents):
+    assert L.scan(documents([])).count() == 0
+    odd = documents([(1, "cc by", 3, "x")], "doc_id long, text string, words int, found string")
+    assert L.scan(odd).first().labels == "cc-by"
+
+
+def test_no_shuffle_of_texts(documents):
+    plan = L.scan(documents([(1, "cc by")]))._jdf.queryExecution().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_template_length_is_checked():
+    with pytest.raises(ValueError):
+        L.templates(base=(("long", "word " * 40),))

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from tillmetrics.llm import names as N
+from tillmetrics.llm import suffix_dedup as X
+
+from .conftest import prose
+
+
+def brute(texts, length):
+    data = [(t or "").encode() for t in texts]
+    windows = Counter(d[i : i + length] for d in data for i in range(len(d) - length + 1))
+    made = []
+    for d in data:
+        gone = np.zeros(len(d) + 1, bool)
+        for i in range(len(d) - length + 1):
+            if windows[d[i : i + length]] > 1:
+                gone[i : i + length] = True
+        kept = bytes(b for b, g in zip(d, gone) if not g)
+        spans = int((gone[1:] & ~gone[:-1]).sum() + gone[0])
+        made.append((len(d), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()))
+    return made
+
+
+def rows_for(dice, count):
+    base = ["".join(dice.choice("abé \n") for _ in range(dice.randrange(20, 300))) for _ in range(10)]
+    made = []
+    for i in range(count):
+        a, b = dice.choice(base), dice.choice(base)
+        kinds = [
+            a,
+            a[dice.randrange(10) :] + b[: dice.randrange(60)],
+            "x" * dice.randrange(80),
+            a[: dice.randrange(len(a))] + str(dice.random()) + b[dice.randrange(len(b)) :],
+            None if dice.random() < 0.5 else "",
+            "ab" * dice.randrange(60),
+        ]
+        made.append((i if dice.random() < 0.95 else None, dice.choice(kinds)))
+    return made + made[:5]
+
+
+@pytest.mark.parametrize("crowd", [4096, 1])
+def test_every_byte(documents, dice, crowd, monkeypatch):
+    monkeypatch.setattr(X, "PIECE", 70)
+    rows = rows_for(dice, 200)
+    found = X.remove_repeats(documents(rows), 24, 10, crowd, as_text=False).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found]
+    want = [(i, *b) for (i, _), b in zip(rows, brute([t for _, t in rows], 24))]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert any(0 < w[2] < w[1] for w in want)
+
+
+def test_query_on_prose(spark, documents, dice, folder):
+    shared = prose(dice, 80)
+    rows = [(i, prose(dice, 60, 9999) + " " + (shared if i % 3 else "") + prose(dice, 50, 9999)) for i in range(30)]
+    rows += [(100, shared[:199]), (101, prose(dice, 60_000, 9999)), (102, "é" * 300), (103, rows[0][1])]
+    found = X.op5_suffix_dedup(spark, folder(documents=documents(rows))).collect()
+    want = [(i, *b) for (i, _), b in zip(rows, brute([t for _, t in rows], 200))]
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_text_that_stays(documents):
+    text = "é" + "0123456789" * 3
+    rows = [(1, "head " + text + " tail", 5, "a"), (2, text, 6, "b"), (3, "short", 7, "c"), (4, None, 8, "d")]
+    docs = documents(rows, "doc_id long, text string, starts int, n_bytes string")
+    found = {r.doc_id: r for r in X.remove_repeats(docs, 16, 8).collect()}
+    assert found[1].kept_text == "head  tail" and found[2].kept_text == ""
+    assert found[3].kept_text == "short" and found[4].kept_text is None
+    assert [found[i].starts for i in (1, 2, 3, 4)] == [5, 6, 7, 8]
+    assert found[1].n_bytes == len(rows[0][1].encode())
+    assert X.remove_repeats(docs.limit(0), 16, 8).count() == 0
+
+
+def test_names_are_of_content(dice):
+    data = np.frombuffer("".join(dice.choice("ab") for _ in range(4000)).encode(), np.uint8)
+    for size in (8, 13, 16, 24):
+        names = N.of_length(N.doubled(data, size), size)
+        strings = [data[i : i + size].tobytes() for i in range(len(names))]
+        assert len(names) == len(data) - size + 1
+        assert len(set(zip(strings, names.tolist()))) == len(set(strings)) == len(set(names.tolist()))
+    least = N.sliding_min(data, 7)
+    assert least.tolist() == [data[i : i + 7].min() for i in range(len(data) - 6)]

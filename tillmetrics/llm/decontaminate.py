@@ -217,12 +217,11 @@ def overlaps(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no benchmark item."""
-    found = overlaps(docs, benchmark).select(
-        F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (
-        F.xxhash64(whole("text")) == F.col("hit_key")
+    """The documents that hold no benchmark item, all columns kept."""
+    found = overlaps(docs.select("doc_id", "text"), benchmark)
+    found = found.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (
+        F.xxhash64(whole("text")) == F.col("__key")
     )
     return docs.join(found.distinct(), same, "left_anti")
 

@@ -237,13 +237,12 @@ def op7_simhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of one document of each group: that with the smallest doc_id."""
-    found = groups(docs, size, radius)
+    """The rows of one document of each group: that with the smallest doc_id, all columns kept."""
+    found = groups(docs.select("doc_id", "text"), size, radius)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
     kept = found.groupBy("root").agg(F.min(order).alias("k"))
-    kept = kept.select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_key").alias("kept_key"))
-    own = docs.withColumn("kept_text", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("kept_text") == F.col("kept_key"))
-    once = own.join(kept, same, "left_semi").drop("kept_text")
+    kept = kept.select(F.col("k.doc_id").alias("__id"), F.col("k.text_key").alias("__key"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__key"))
+    once = docs.join(kept, same, "left_semi")
     repeated = found.groupBy("doc_id", "text_key").count().filter("count > 1")
     return once if repeated.isEmpty() else once.dropDuplicates(["doc_id", "text"])

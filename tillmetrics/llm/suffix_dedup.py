@@ -37,7 +37,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmetrics.llm.names import doubled, of_length, pair, sliding_min
@@ -284,20 +284,19 @@ def _compare_windows(length: int) -> Callable:
     return run
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns(
-        {
-            "doc_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)),
-            "text_key": F.xxhash64(whole("text")),
-        }
-    )
+def keys() -> tuple[Column, Column]:
+    """What a text is known by: rows equal in both share their text, and so all that is found."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.xxhash64(whole("text"))
 
 
 def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD):
     """doc_key, text_key, starts: runs of windows, as (first, last), that also start elsewhere."""
     spark = docs.sparkSession
-    texts = keyed(docs.select("doc_id", whole("text").alias("text")))
-    rows = texts.select("doc_key", "text_key", "text").mapInArrow(_find_runs(length, gram), ROW)
+    doc_key, text_key = keys()
+    texts = docs.select(
+        doc_key.alias("doc_key"), text_key.alias("text_key"), whole("text").alias("text")
+    )
+    rows = texts.mapInArrow(_find_runs(length, gram), ROW)
     folder = f"{shared_folder(spark)}/repeats-{uuid.uuid4().hex}"
     (
         rows.repartition("g")
@@ -318,8 +317,8 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     )
     by_text = marked.groupBy("doc_key", "text_key").agg(F.collect_set("run").alias("runs"))
     held = (
-        texts.select("doc_key", "text_key", "text")
-        .join(by_text, ["doc_key", "text_key"])
+        texts.join(by_text, ["doc_key", "text_key"])
+        .select("doc_key", "text_key", "text", "runs")
         .mapInArrow(_fetch_bytes(length), WINDOWS)
     )
     windows = (
@@ -335,7 +334,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
     )
 
 
-def covered(size: int, starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
+def covered(starts: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     """Maximal runs of bytes, as (first, end), that the windows with these starts cover."""
     made: list[list[int]] = []
     for first, last in sorted(starts):
@@ -351,27 +350,27 @@ def _kept(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
 
 
-def _remove(length: int, kept: list[str], as_text: bool) -> Callable:
+def _remove(length: int, as_text: bool) -> Callable:
+    last = "kept_text" if as_text else "kept_sha256"
+
+    def one(text: str | None, starts: list[dict] | None) -> tuple[int, int, int, str | None]:
+        data = (text or "").encode("utf-8")
+        spans = covered([(s["first"], s["last"]) for s in starts or ()], length)
+        rest = _kept(data, spans)
+        if not as_text:
+            said = hashlib.sha256(rest).hexdigest()
+        else:  # a cut may split a character; what is left of it goes, too
+            said = rest.decode("utf-8", "ignore") if spans else text
+        return len(data), len(data) - len(rest), len(spans), said
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = []
-            lists = batch.column("starts").to_pylist()
-            for text, starts in zip(batch.column("text").to_pylist(), lists):
-                data = (text or "").encode("utf-8")
-                spans = covered(len(data), [(s["first"], s["last"]) for s in starts or ()], length)
-                rest = _kept(data, spans)
-                gone = len(data) - len(rest)
-                # A cut may split a character; what is left of it goes, too.
-                last = rest.decode("utf-8", "ignore") if as_text else hashlib.sha256(rest).hexdigest()
-                made.append((len(data), gone, len(spans), last if gone or not as_text else text))
-            n, gone, spans, last = zip(*made) if made else ((), (), (), ())
+            columns = (batch.column(c).to_pylist() for c in ("text", "starts"))
+            made = list(zip(*[one(*row) for row in zip(*columns)])) or [()] * 4
+            kinds = [pa.int64()] * 3 + [pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c) for c in kept],
-                    *[pa.array(x, pa.int64()) for x in (n, gone, spans)],
-                    pa.array(last, pa.string()),
-                ],
-                [*kept, "n_bytes", "n_removed", "n_spans", "kept_text" if as_text else "kept_sha256"],
+                [batch.column("own"), *[pa.array(x, t) for x, t in zip(made, kinds)]],
+                ["own", "n_bytes", "n_removed", "n_spans", last],
             )
 
     return run
@@ -380,14 +379,28 @@ def _remove(length: int, kept: list[str], as_text: bool) -> Callable:
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD, as_text: bool = True
 ) -> DataFrame:
-    """Every column of docs but text, with n_bytes, n_removed, n_spans and the text that stays."""
-    starts = repeated_starts(docs, length, gram, crowd)
-    rows = keyed(docs).join(starts, ["doc_key", "text_key"], "left")
-    kept = [c for c in docs.columns if c != "text"]
-    own = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema if f.name != "text")
-    out = f"{own}n_bytes long, n_removed long, n_spans long, "
-    out += "kept_text string" if as_text else "kept_sha256 string"
-    return rows.select(*kept, "text", "starts").mapInArrow(_remove(length, kept, as_text), out)
+    """Every column of docs but text, with n_bytes, n_removed, n_spans and the text that stays.
+
+    Columns of docs that have the name of one of these are replaced.
+    """
+    last = "kept_text" if as_text else "kept_sha256"
+    made = ("n_bytes", "n_removed", "n_spans", last)
+    starts = repeated_starts(docs.select("doc_id", "text"), length, gram, crowd).select(
+        F.col("doc_key").alias("__doc"), F.col("text_key").alias("__text"), "starts"
+    )
+    doc_key, text_key = keys()
+    kept = [f for f in docs.schema if f.name not in ("text", *made)]
+    rows = docs.select(
+        F.struct(*[f"`{f.name}`" for f in kept]).alias("own"),
+        "text",
+        doc_key.alias("doc_key"),
+        text_key.alias("text_key"),
+    )
+    same = (F.col("doc_key") == F.col("__doc")) & (F.col("text_key") == F.col("__text"))
+    cut = rows.join(starts, same, "left").select("own", "text", "starts")
+    own = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in kept)
+    out = f"own struct<{own}>, n_bytes long, n_removed long, n_spans long, {last} string"
+    return cut.mapInArrow(_remove(length, as_text), out).select("own.*", *made)
 
 
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
