@@ -25,7 +25,9 @@ import os
 from collections.abc import Callable, Iterator
 from itertools import chain, groupby
 from pathlib import Path
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +40,8 @@ LEAF = 32_768  # code points
 WINDOW = 64  # code points on either side of a join, to begin with
 AGREE = 4  # equal tokens in a row inside a run of letters
 BATCH = 1 << 18  # code points encoded at a time
-CACHE = 200_000  # words whose ids a task remembers
+CACHE = 300_000  # words whose ids a task remembers, and as many of those before
+EDGE = 1024  # code points at either end of a leaf whose tokens are kept one by one
 SPACE = frozenset(" \t\n\r")
 
 
@@ -62,6 +65,7 @@ def halves(text: str, leaf: int) -> list[str]:
 
 
 Tokens = list[tuple[int, int, int]]  # id, first and last code point (exclusive)
+Part = tuple[int, str, str]  # number of ids, the ids in decimal, the tokens
 
 
 def tokens_of(tokenizer, text: str, at: int = 0) -> Tokens:
@@ -126,73 +130,147 @@ def _agree_right(text: str, right: Tokens, window: Tokens, join: int) -> tuple[i
     return None
 
 
-def join_up(tokenizer, text: str, left: Tokens, right: Tokens, lo: int, join: int, hi: int) -> Tokens:
-    """Tokens of text[lo:hi] from those of text[lo:join] and text[join:hi]."""
-    reach = WINDOW
+def join_up(tokenizer, text: str, left: Node, right: Node) -> Tokens | None:
+    """Tokens from left.last to right.head with the join mended; None if it takes more than those."""
+    own, rest, join, reach = left.last, right.head, left.hi, WINDOW
+    from_start, to_end = not left.parts, not right.parts
+    lowest = left.lo if from_start else own[0][1] if own else join
+    highest = right.hi if to_end else rest[-1][2] if rest else join
     while True:
-        first, last = max(lo, join - reach), min(hi, join + reach)
+        first, last = max(lowest, join - reach), min(highest, join + reach)
         window = tokens_of(tokenizer, text[first:last], first)
-        kept = (0, 0) if first == lo else _agree_left(text, left, window, join) if window else None
-        rest = (
-            (len(right), len(window))
-            if last == hi
-            else _agree_right(text, right, window, join) if window else None
+        at_start, at_end = from_start and first == lowest, to_end and last == highest
+        kept = (0, 0) if at_start else _agree_left(text, own, window, join) if window else None
+        then = (
+            (len(rest), len(window))
+            if at_end
+            else _agree_right(text, rest, window, join) if window else None
         )
-        if kept and rest and kept[1] <= rest[1]:
-            return left[: kept[0]] + window[kept[1] : rest[1]] + right[rest[0] :]
+        if kept and then and kept[1] <= then[1]:
+            return own[: kept[0]] + window[kept[1] : then[1]] + rest[then[0] :]
+        if first == lowest and last == highest:
+            return None
         reach *= 2
 
 
-def concatenate(tokenizer, leaves: list[tuple[str, Tokens]]) -> list[int]:
-    """Ids of the text whose leaves these are, each with the tokens it has by itself."""
-    text = "".join(piece for piece, _ in leaves)
-    nodes, at = [], 0
+class Node(NamedTuple):
+    """A stretch of the text: tokens at both ends, and what lies between them as finished parts.
+
+    Without parts, `head` holds all of its tokens and `tail` none.
+    """
+
+    lo: int
+    hi: int
+    head: Tokens
+    parts: list[Part]
+    tail: Tokens
+
+    @property
+    def last(self) -> Tokens:
+        return self.tail if self.parts else self.head
+
+
+def solid(tokenizer, text: str, lo: int, hi: int) -> Node:
+    return Node(lo, hi, tokens_of(tokenizer, text[lo:hi], lo), [], [])
+
+
+def node_of_leaf(words: Words, piece: str, edge: int) -> Node:
+    """Only the ends of a leaf need their tokens one by one; white space separates the middle."""
+    ends = [(piece.find(c, edge), piece.rfind(c, 0, max(0, len(piece) - edge))) for c in " \n"]
+    first = min((a for a, _ in ends if a >= 0), default=-1) + 1
+    last = max(b for _, b in ends) + 1
+    if not 0 < first < last:
+        return solid(words.tokenizer, piece, 0, len(piece))
+    head = tokens_of(words.tokenizer, piece[:first])
+    tail = tokens_of(words.tokenizer, piece[last:], last)
+    return Node(0, len(piece), head, words.encode([piece[first:last]]), tail)
+
+
+def join_nodes(words: Words, text: str, left: Node, right: Node) -> Node:
+    found = join_up(words.tokenizer, text, left, right)
+    while found is None:  # it takes more than the ends: this stretch has hardly any white space
+        left = solid(words.tokenizer, text, left.lo, left.hi)
+        right = solid(words.tokenizer, text, right.lo, right.hi)
+        found = join_up(words.tokenizer, text, left, right)
+    lo, hi = left.lo, right.hi
+    if left.parts and right.parts:
+        parts = [*left.parts, words.part([i for i, _, _ in found]), *right.parts]
+        return Node(lo, hi, left.head, parts, right.tail)
+    if left.parts:
+        return Node(lo, hi, left.head, left.parts, found)
+    return Node(lo, hi, found, right.parts, right.tail)
+
+
+def concatenate(words: Words, leaves: list[tuple[str, Node]]) -> Part:
+    """The text whose leaves these are, put together level by level."""
+    text, nodes, at = "".join(piece for piece, _ in leaves), [], 0
     for piece, own in leaves:
-        nodes.append((at, at + len(piece), [(i, a + at, b + at) for i, a, b in own]))
+        head, tail = ([(i, a + at, b + at) for i, a, b in t] for t in (own.head, own.tail))
+        nodes.append(Node(at, at + len(piece), head, own.parts, tail))
         at += len(piece)
     while len(nodes) > 1:
-        joined = [
-            (lo, hi, join_up(tokenizer, text, left, right, lo, join, hi))
-            for (lo, join, left), (_, hi, right) in zip(nodes[::2], nodes[1::2])
-        ]
+        joined = [join_nodes(words, text, a, b) for a, b in zip(nodes[::2], nodes[1::2])]
         nodes = joined + nodes[len(joined) * 2 :]
-    return [i for i, _, _ in nodes[0][2]]
+    root = nodes[0]
+    ends = [words.part([i for i, _, _ in t]) for t in (root.head, root.tail)]
+    return words.together([ends[0], *root.parts, ends[1]])
 
 
 class Words:
-    """Ids of texts, put together from those of their words; white space always ends a word.
+    """Encodes texts as parts: (number of ids, decimal ids, decoded text), each joined by blanks.
 
     No normalisation or rule of the vocabulary reaches across a blank or a line break, so the ids of
-    a text are those of its words in a row. Words met before are looked up. What else counts as
+    a text are those of its words in a row. Words met lately are looked up; what else counts as
     white space stays inside a word and is left to the tokenizer.
     """
 
     def __init__(self, tokenizer, most: int = CACHE):
-        self.tokenizer, self.most, self.known = tokenizer, most, {"": []}
+        self.tokenizer, self.most = tokenizer, most
+        self.known: dict[str, Part] = {}
+        self.before: dict[str, Part] = {}
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        self.decimal = [str(i) for i in range(max(vocabulary.values()) + 1)]
+        self.tokens = [""] * len(self.decimal)
+        for token, i in vocabulary.items():
+            self.tokens[i] = token
+        if tokenizer.decoder is not None:
+            raise ValueError("decoded texts are only put together from tokens without a decoder")
+
+    def part(self, ids: list[int]) -> Part:
+        decimal, tokens = self.decimal, self.tokens
+        return len(ids), " ".join([decimal[i] for i in ids]), " ".join([tokens[i] for i in ids])
+
+    @staticmethod
+    def together(parts: list[Part]) -> Part:
+        parts = [p for p in parts if p[0]]
+        return (
+            sum([p[0] for p in parts]),
+            " ".join([p[1] for p in parts]),
+            " ".join([p[2] for p in parts]),
+        )
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[Part]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        new = list({w: None for words in split for w in words if w not in known})
-        if len(known) + len(new) > self.most:
-            known = self.known = {"": []}
-            new = list({w: None for words in split for w in words if w})
+        if len(self.known) > self.most:
+            self.known, self.before = {}, self.known
+        known, before, new = self.known, self.before, []
+        for w in set(chain.from_iterable(split)).difference(known):
+            if w in before:
+                known[w] = before[w]
+            else:
+                new.append(w)
         made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update(zip(new, [m.ids for m in made]))
-        return [list(chain.from_iterable([known[w] for w in words])) for words in split]
+        known.update(zip(new, [self.part(m.ids) for m in made]))
+        return [self.together([known[w] for w in words]) for words in split]
 
 
-def _digests(tokenizer, names: list[str], ids: list[int]) -> tuple[int, str, str]:
-    decoded = tokenizer.decode(ids, skip_special_tokens=False)
-    return (
-        len(ids),
-        hashlib.sha256(" ".join([names[i] for i in ids]).encode()).hexdigest(),
-        hashlib.sha256(decoded.encode("utf-8")).hexdigest(),
-    )
+def _digests(part: Part) -> tuple[int, str, str]:
+    n, ids, decoded = part
+    return n, *(hashlib.sha256(x.encode("utf-8")).hexdigest() for x in (ids, decoded))
 
 
-def _names(tokenizer) -> list[str]:
-    return [str(i) for i in range(tokenizer.get_vocab_size(with_added_tokens=True) + 1)]
+def _ids(part: Part) -> np.ndarray:
+    return np.array(part[1].split(), np.int32)
 
 
 OUT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
@@ -212,23 +290,20 @@ def _batches(sizes: list[int]) -> Iterator[slice]:
 
 def _encode_short(vocabulary, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = load(vocabulary.value)
-        names, words = _names(tokenizer), Words(tokenizer)
+        words = None
         for batch in batches:
+            words = words or Words(load(vocabulary.value))
             texts = batch.column("text").to_pylist()
+            kept = [c for c in batch.schema.names if c != "text"]
             for rows in _batches([len(t) for t in texts]):
-                ids = words.encode(texts[rows])
-                n, a, b = zip(*[_digests(tokenizer, names, i) for i in ids])
+                made = words.encode(texts[rows])
+                n, a, b = zip(*map(_digests, made))
                 part = batch.slice(rows.start, rows.stop - rows.start)
-                columns = [part.column(c) for c in batch.schema.names if c != "text"]
-                columns += [pa.array(n, pa.int64()), pa.array(a), pa.array(b)]
+                columns = [*[part.column(c) for c in kept], pa.array(n, pa.int64()), pa.array(a), pa.array(b)]
                 if with_ids:
-                    columns.append(pa.array(ids, pa.list_(pa.int32())))
+                    columns.append(pa.array([_ids(m) for m in made], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(
-                    columns,
-                    [c for c in batch.schema.names if c != "text"]
-                    + ["n_tokens", "ids_sha256", "decoded_sha256"]
-                    + ["ids"] * with_ids,
+                    columns, [*kept, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
                 )
 
     return run
@@ -253,56 +328,62 @@ def _cut(leaf: int) -> Callable:
     return run
 
 
-def _encode_leaves(vocabulary) -> Callable:
+LEAVES = "head array<int>, n long, ids string, decoded string, tail array<int>"
+
+
+def _encode_leaves(vocabulary, edge: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = None
+        words = None
         for batch in batches:
-            tokenizer = tokenizer or load(vocabulary.value)
+            words = words or Words(load(vocabulary.value))
             for i, piece in enumerate(batch.column("piece").to_pylist()):
-                own = tokens_of(tokenizer, piece)
-                sides = list(zip(*own)) or [(), (), ()]
-                lists = [pa.array([list(s)], pa.list_(pa.int32())) for s in sides]
+                node = node_of_leaf(words, piece, edge)
+                n, ids, decoded = node.parts[0] if node.parts else (-1, "", "")
+                head, tail = (pa.array([list(chain(*t))], pa.list_(pa.int32())) for t in (node.head, node.tail))
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(i, 1).columns, *lists],
-                    [*batch.schema.names, "ids", "starts", "ends"],
+                    [*batch.slice(i, 1).columns, head, *map(pa.array, ([n], [ids], [decoded])), tail],
+                    [*batch.schema.names, *[x.split()[0] for x in LEAVES.split(", ")]],
                 )
 
     return run
 
 
+def _node(row: dict) -> Node:
+    head, tail = (list(zip(*[iter(row[k])] * 3)) for k in ("head", "tail"))
+    parts = [(row["n"], row["ids"], row["decoded"])] if row["n"] >= 0 else []
+    return Node(0, len(row["piece"]), head, parts, tail)
+
+
 def _join_leaves(vocabulary, kept: list[str], with_ids: bool, out: str) -> Callable:
     names = [*kept, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
     schema = to_arrow_schema(T._parse_datatype_string(out))
 
-    def joined(tokenizer, decimal: list[str], leaves: list[dict]) -> dict:
-        ids = concatenate(
-            tokenizer,
-            [(r["piece"], list(zip(r["ids"], r["starts"], r["ends"]))) for r in leaves],
-        )
-        made = (*_digests(tokenizer, decimal, ids), ids)
-        return dict(zip(names, [*[leaves[0][c] for c in kept], *made]))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = chain.from_iterable(b.to_pylist() for b in batches)
-        tokenizer = decimal = None
+        rows = chain.from_iterable(b.slice(i, 1).to_pylist() for b in batches for i in range(len(b)))
+        words = None
         for _, group in groupby(rows, key=lambda r: r["row_key"]):
-            if tokenizer is None:
-                tokenizer = load(vocabulary.value)
-                decimal = _names(tokenizer)
+            words = words or Words(load(vocabulary.value))
             leaves: dict[int, dict] = {}
             copies = 0  # rows repeated in the table share their leaves
             for r in group:
                 copies += r["leaf"] == 0
                 leaves.setdefault(r["leaf"], r)
-            yield pa.RecordBatch.from_pylist(
-                [joined(tokenizer, decimal, list(leaves.values()))] * copies, schema
-            )
+            own = list(leaves.values())
+            part = concatenate(words, [(r["piece"], _node(r)) for r in own])
+            values = [*[own[0][c] for c in kept], *_digests(part)]
+            row = dict(zip(names, [*values, _ids(part)] if with_ids else values))
+            yield pa.RecordBatch.from_pylist([row] * copies, schema)
 
     return run
 
 
 def encode(
-    docs: DataFrame, path: str, leaf: int = LEAF, keep: tuple[str, ...] = ("doc_id",), with_ids=False
+    docs: DataFrame,
+    path: str,
+    leaf: int = LEAF,
+    keep: tuple[str, ...] = ("doc_id",),
+    with_ids: bool = False,
+    edge: int = EDGE,
 ) -> DataFrame:
     """Columns `keep` of docs with n_tokens and the digests of the ids and of the decoded text."""
     vocabulary = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
@@ -317,9 +398,7 @@ def encode(
     cut = rows.filter(F.length("text") > leaf).select("*", whole_key)
     leaves = cut.mapInArrow(_cut(leaf), f"{own}, row_key long, leaf int, piece string")
     encoded = leaves.repartition("row_key", "leaf").mapInArrow(
-        _encode_leaves(vocabulary),
-        f"{own}, row_key long, leaf int, piece string, "
-        "ids array<int>, starts array<int>, ends array<int>",
+        _encode_leaves(vocabulary, edge), f"{own}, row_key long, leaf int, piece string, {LEAVES}"
     )
     together = encoded.repartition("row_key").sortWithinPartitions("row_key", "leaf")
     long = together.mapInArrow(_join_leaves(vocabulary, list(keep), with_ids, out), out)
