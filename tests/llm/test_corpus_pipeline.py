@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+import corpus_pipeline as C
+
+from .conftest import prose
+from .test_language_id import text_of
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+
+def test_each_stage_and_the_whole(spark, documents, dice, folder, tmp_path):
+    shared = prose(dice, 70, 9999)
+    leak = prose(dice, 40, 9999)
+    rows = [(i, text_of(dice, k, 90), k, "s", 1) for i, k in enumerate(["de", "en", "es", "fr"] * 8)]
+    own = [prose(dice, 150, 99999) for _ in range(6)]
+    rows += [(100 + i, t, "en", "s", len(t)) for i, t in enumerate(own)]
+    rows += [(200, own[0], "en", "s", 1), (201, own[1] + " more", "en", "s", 1)]
+    rows += [(300 + i, f"{prose(dice, 90, 99999)}\n{shared}\n{prose(dice, 90, 99999)}", "en", "s", 7) for i in range(2)]
+    rows += [(400, prose(dice, 60, 99999) + " " + leak, "en", "s", 1)]
+    rows += [(500, None, "en", "s", 0), (501, "123 ...", None, None, None), (502, "", "en", "s", 0)]
+    rows += [(None, text_of(dice, "fr", 70) + " sans identité", None, "s", None)]
+    docs = documents(rows)
+    benchmark = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    path = folder(documents=docs.withColumn("fp", docs.doc_id), benchmark=benchmark)
+
+    kept, seen = spark.read.parquet(f"{path}/documents.parquet"), {}
+    for name, stage in C.STAGES:
+        stage(spark, kept, path).write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        seen[name] = {r.doc_id: r for r in kept.collect()}
+        if name != "bpe":
+            assert kept.columns == list(C.DOCUMENTS)
+    everything = {r[0] for r in rows}
+    assert set(seen["language_id"]) == everything - {500, 501, 502}
+    assert seen["language_id"][None].lang == "fr"
+    after = set(seen["simhash_dedup"])
+    assert {200, 201}.isdisjoint(after) and {100, 101, 102, 103, 104, 105, 300, 301, 400, None} <= after
+    cut = seen["suffix_dedup"]
+    assert set(cut) == after
+    assert shared[20:-20] not in cut[300].text and cut[300].n_chars == len(cut[300].text)
+    assert cut[104].text == own[4] and cut[104].n_chars == len(own[4])
+    assert set(seen["decontaminate"]) == after - {400}
+    last = seen["bpe"]
+    assert set(last) == after - {400}
+    from tillmetrics.llm.bpe_tree import load
+
+    tokenizer = load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
+    for i, r in last.items():
+        ids = tokenizer.encode(seen["decontaminate"][i].text, add_special_tokens=False).ids
+        assert r.ids == ids and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+    whole = {r.doc_id: r for r in C.run(spark, path).collect()}
+    assert whole == last
+
+
+def test_empty_table(spark, documents, folder):
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    assert C.run(spark, folder(documents=documents([]), benchmark=benchmark)).count() == 0

@@ -51,7 +51,7 @@ def case(dice):
     items = [(i, prose(dice, n, 5000)) for i, n in enumerate((8, 11, 14, 16, 25, 60, 5, 0))]
     items += [(20, items[4][1]), (21, None), (None, prose(dice, 30, 5000)), items[3]]
     docs = [(1, None), (2, ""), (3, items[5][1]), (3, items[5][1]), (None, "x " + items[4][1])]
-    for i in range(60):
+    for i in range(30):
         passage = words(dice.choice(items)[1])
         first = dice.randrange(len(passage) + 1) if dice.random() < 0.4 else 0
         passage = passage[first:]
@@ -60,7 +60,7 @@ def case(dice):
                 passage[dice.randrange(len(passage))] = f"sub{dice.randrange(9)}"
         text = " ".join([prose(dice, dice.randrange(30)), *passage, prose(dice, dice.randrange(30))])
         docs.append((10 + i, text.upper() if i % 2 else text))
-    docs.append((500, prose(dice, 2_000) + " " + items[5][1]))
+    docs.append((500, prose(dice, 900) + " " + items[5][1]))
     return docs, items
 
 

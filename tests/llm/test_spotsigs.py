@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from tillmetrics.llm import spotsigs as X
+
+ANCHORS = set(X.ANCHORS)
+
+
+def spots(text):
+    w = ["^", *(x for x in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower()) if x)]
+    made = set()
+    for i, x in enumerate(w):
+        if i == 0 or x in ANCHORS:
+            content = [y for y in w[i + 1 : i + 200] if y not in ANCHORS][: X.CHAIN]
+            if len(content) == X.CHAIN:
+                made.add((x, *content))
+    return made or ({tuple(w)} if len(w) > 1 else set())
+
+
+def likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def line(dice, count):
+    common = ["the", "of", "and", "to", "is", "der", "la", "que"]
+    return " ".join(dice.choice(common) if dice.random() < 0.4 else f"c{dice.randrange(60)}" for _ in range(count))
+
+
+def check(rows, found):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    assert len(found) == len(order)
+    said = {r.doc_id: r for r in found}
+    for (i, t), (_, after) in zip(order, [*order[1:], order[0]]):
+        t, after = t or "", after or ""
+        cut = len(t) // 4
+        edited = t[: len(t) - cut] + after[:cut]
+        r = said[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert len(r.fingerprint) == 8 * len(spots(t))
+        assert len(r.edited_fingerprint) == 8 * len(spots(edited))
+        assert abs(r.near_edited - likeness(spots(t), spots(edited))) < 1e-9
+        assert abs(r.near_next - likeness(spots(t), spots(after))) < 1e-9
+
+
+def test_against_plain_python(spark, documents, dice, folder, monkeypatch):
+    rows = [(3, None), (1, ""), (7, "the of and"), (8, "word"), (9, "THE the Word, é😀é other the"), (-5, " \n ")]
+    rows += [(None, "the one without an id at all")]
+    rows += [(10 + 3 * i, line(dice, dice.randrange(2, 90))) for i in range(60)] + [(999, line(dice, 8_000))]
+    for size in (2048, 5):
+        monkeypatch.setattr(X, "RANGE_ROWS", size)
+        check(rows, X.op6_spotsigs(spark, folder(documents=documents(rows))).collect())
+    monkeypatch.setattr(X, "MOST_RANGES", 2)
+    check(rows, X.op6_spotsigs(spark, folder(documents=documents(rows))).collect())
+
+
+def test_ties_and_small_tables(spark, documents, folder):
+    rows = [(1, "the same text here"), (1, "the same text here"), (2, "the same text here")]
+    found = X.op6_spotsigs(spark, folder(documents=documents(rows))).collect()
+    assert len(found) == 3 and {r.near_next for r in found} == {1.0}
+    assert len({r.fingerprint for r in found}) == 1
+    assert X.op6_spotsigs(spark, folder(documents=documents(rows[:1]))).first().near_next == 1.0
+    assert X.op6_spotsigs(spark, folder(documents=documents([]))).count() == 0
+    only = X.op6_spotsigs(spark, folder(documents=documents([(None, "a b"), (None, "c d")]))).collect()
+    assert len(only) == 2
+
+
+def test_near_duplicates_are_all_found(documents, dice):
+    base = [line(dice, n) for n in (40, 80, 160)]
+    rows = [(0, None), (1, "")]
+    for i in range(90):
+        w = dice.choice(base).split()
+        for _ in range(dice.randrange(12)):
+            w[dice.randrange(len(w))] = f"c{dice.randrange(60)}"
+        rows.append((10 + i, " ".join(w[: len(w) - dice.randrange(8)])))
+    rows += rows[5:8]
+    docs = documents(rows)
+    names = {r.doc_id: r.class_id for r in X.classes(docs).collect()}
+    sets = {names[i]: frozenset(spots(t)) for i, t in rows if spots(t)}
+    for threshold in (0.8, 0.5):
+        found = {(r.a, r.b): r.jaccard for r in X.near_duplicates(docs, threshold).collect()}
+        want = {
+            (a, b): likeness(sets[a], sets[b])
+            for a in sets
+            for b in sets
+            if a < b and likeness(sets[a], sets[b]) >= threshold
+        }
+        assert found.keys() == want.keys() and want
+        assert all(abs(found[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_native(documents):
+    plan = X.with_next(documents([(1, "a"), (2, "b")]))._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)

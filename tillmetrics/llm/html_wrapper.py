@@ -73,7 +73,7 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""")
 PART = re.compile(r"[a-z]+")
 
 
@@ -86,9 +86,11 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
     role, names = found.get("role", ""), f"{found.get('class', '')} {found.get('id', '')}"
     marks = MARKS.intersection(PART.findall(names))
     against = tag in TAGS or role in ROLES or bool(marks - {"header"}) or "hidden" in found
-    label = ".".join([tag, *sorted(set(found.get("class", "").split())), *[role] * bool(role)])
+    lead = tag == "header" or "header" in marks
     article = not against and (tag in ("article", "main") or role == "main")
-    return label, against, tag == "header" or "header" in marks, article
+    label = ".".join([tag, *sorted(set(found.get("class", "").split())), *[role] * bool(role)])
+    # Neighbours that are to be told apart by other attributes don't share a label either.
+    return label + "!" * against + "^" * lead, against, lead, article
 
 
 class Page:
