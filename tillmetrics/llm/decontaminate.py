@@ -23,6 +23,7 @@ too; other columns are ignored; an empty table on either side gives an empty res
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +38,7 @@ BLOCK = 16  # words
 BROADCAST = 1_000_000  # hashes of the benchmark that each executor may hold (16 bytes each)
 
 
+@functools.cache
 def tolerance(length: int, masks: tuple[str, ...] = MASKS) -> int:
     """Most substitutions in `length` words that leave a window of some mask untouched; -1: none."""
     windows = [
