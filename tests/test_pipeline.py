@@ -83,7 +83,7 @@ def seeded(spark, frame, tmp_path_factory):
         {BATCH: day(f"2026-01-0{d}"), "spend_date": f"2026-01-0{d}", "channel": "EMAIL", "spend": d}
         for d in range(1, 8)
     ]
-    w.land("raw_marketing_spend", unnumbered(frame(S.RAW_MARKETING, spend, [BATCH_FIELD])))
+    w.land("raw_marketing_spend", unnumbered(frame(S.RAW_MARKETING, spend, [BATCH_FIELD])), delivery="a")
     pipeline.full_refresh(w, FIRST, SEEDED, RETAIL)
     return w.root
 
@@ -92,8 +92,8 @@ def unnumbered(raw):
     return raw.drop("raw_id", "loaded_at")
 
 
-def land_sales(w, frame, rows):
-    w.land("raw_sales_export", unnumbered(frame(S.RAW_SALES, rows, [BATCH_FIELD])))
+def land_sales(w, frame, rows, delivery="shop"):
+    w.land("raw_sales_export", unnumbered(frame(S.RAW_SALES, rows, [BATCH_FIELD])), delivery=delivery)
 
 
 def counts(w):
@@ -152,7 +152,9 @@ def test_a_run_that_died_is_done_again(warehouse, frame, monkeypatch, rows):
         broken.setattr(Warehouse, "append_dates", die)
         with pytest.raises(RuntimeError, match="executor lost"):
             pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL)
-    assert counts(warehouse)["fact_orders"] == 5  # published, but the day is not marked
+    # published, but out of sight until the day is marked
+    assert warehouse.read("fact_orders").count() == 5
+    assert counts(warehouse)["fact_orders"] == 4
     assert pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL) == [day("2026-01-05")]
     assert counts(warehouse)["fact_orders"] == 5
     assert rows(warehouse.read("dim_date"), "date_id") == [(20260101 + i,) for i in range(5)]
@@ -187,7 +189,7 @@ def test_returns_department_works_from_the_lines_due(warehouse, frame, spark, ro
     offered = []
 
     def land(w, days):
-        star = w.star()
+        star = w.star(committed=False)
         due = views.return_decision_cohort(
             star["fact_orders"], star["dim_date"], star["dim_products"], days, 4
         )
@@ -202,6 +204,7 @@ def test_returns_department_works_from_the_lines_due(warehouse, frame, spark, ro
                 F.lit(None).cast("string").alias("reason"),
                 (-F.col("line_revenue")).alias("refund_amount"),
             ),
+            delivery="desk",
         )
 
     for today in ("2026-01-06", "2026-01-09", "2026-01-09", "2026-01-20"):
@@ -224,7 +227,7 @@ def test_returns_department_works_from_the_lines_due(warehouse, frame, spark, ro
 )
 def test_bad_rows_are_not_published(warehouse, frame, bad, rule):
     rows = frame(S.RAW_RETURNS, [bad], [BATCH_FIELD])
-    warehouse.land("raw_returns", unnumbered(rows))
+    warehouse.land("raw_returns", unnumbered(rows), delivery="desk")
     with pytest.raises(pipeline.DataQualityError, match=rule):
         pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL)
     assert counts(warehouse)["fact_returns"] == 0
@@ -249,22 +252,54 @@ def test_landing_keeps_text_and_numbers_rows(warehouse, frame, rows):
     assert raw.filter("loaded_at is null").count() == 0
     ids = [r[0] for r in raw.select("raw_id").collect()]
     assert len(set(ids)) == len(ids)
-    # ids grow with the landing day, and landing a day again replaces it
+    # ids grow with the landing day; a delivery replaces itself, another one adds to the day
     per_day = raw.groupBy(BATCH).agg(F.min("raw_id"), F.max("raw_id")).orderBy(BATCH).collect()
     assert all(a[2] < b[1] for a, b in zip(per_day, per_day[1:]))
     land_sales(warehouse, frame, [sale("2026-01-04", 40)])
     again = warehouse.read("raw_sales_export")
     assert rows(again.filter(F.col(BATCH) == SEEDED), "order_id") == [(40,)]
     assert again.count() == 5
+    land_sales(warehouse, frame, [sale("2026-01-04", 41), sale("2026-01-04", 42)], "afternoon")
+    both = warehouse.read("raw_sales_export").filter(F.col(BATCH) == SEEDED)
+    assert rows(both, "order_id", "delivery") == [(40, "shop"), (41, "afternoon"), (42, "afternoon")]
+    assert both.select("raw_id").distinct().count() == 3
 
 
 def test_ids_follow_the_input_order(spark):
     given = spark.range(0, 1000, 1, 8).withColumn(BATCH, F.lit(FIRST))
     ids = [r["raw_id"] for r in stamp(given, F.col(BATCH)).orderBy("id").collect()]
     assert ids == sorted(ids) and len(set(ids)) == 1000
+    assert ids[-1] - ids[0] == 999
     early = spark.range(1).withColumn(BATCH, F.lit(day("1969-12-31")))
-    with pytest.raises(Exception, match="landing needs"):
-        stamp(early, F.col(BATCH)).collect()
+    assert stamp(early, F.col(BATCH)).first()["raw_id"] < 0 <= ids[0]
+    many = spark.range(0, 300_000, 1, 1 << 12).withColumn(BATCH, F.lit(FIRST))
+    found = stamp(many, F.col(BATCH), taken=7).agg(F.min("raw_id"), F.max("raw_id")).first()
+    assert found[1] - found[0] == 299_999 and found[0] == ids[0] + 7
+
+
+def test_failed_run_stays_out_of_sight(warehouse, frame, rows):
+    before = {k: sorted(map(str, v.collect())) for k, v in views.views(warehouse.star()).items()}
+    land_sales(warehouse, frame, [sale("2026-01-05", 50)])
+    bad = frame(S.RAW_RETURNS, [refund(12345)], [BATCH_FIELD])
+    warehouse.land("raw_returns", unnumbered(bad), delivery="desk")
+    with pytest.raises(pipeline.DataQualityError):
+        pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL)
+    assert warehouse.read("fact_orders").count() == 5
+    after = {k: sorted(map(str, v.collect())) for k, v in views.views(warehouse.star()).items()}
+    assert after == before
+
+
+def test_spend_beyond_eight_digits(warehouse, frame, rows):
+    spend = [
+        {BATCH: day("2026-01-05"), "spend_date": "2026-01-05", "channel": c, "spend": 10**12 + i}
+        for i, c in enumerate(("EMAIL", "email"))
+    ]
+    warehouse.land(
+        "raw_marketing_spend", unnumbered(frame(S.RAW_MARKETING, spend, [BATCH_FIELD])), delivery="b"
+    )
+    pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL)
+    found = warehouse.star()["fact_marketing_spend"].filter("date_id = 20260105")
+    assert rows(found, "spend") == [(D(2 * 10**12 + 6),)]  # with the 5 that delivery a has
 
 
 def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
@@ -282,7 +317,7 @@ def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
     try:
-        w.land("raw_returns", rows.drop("id"))
+        w.land("raw_returns", rows.drop("id"), delivery="desk")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
     files = [f for f in w.read("raw_returns").inputFiles() if str(FIRST) in f]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+from pathlib import PurePath
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ def arguments() -> argparse.ArgumentParser:
     land.add_argument("table", choices=list(RAW))
     land.add_argument("file")
     land.add_argument("--day", type=dt.date.fromisoformat, required=True, help="batch day")
+    land.add_argument("--delivery", help="a delivery replaces itself; by default the file's name")
 
     for command in (load, land):
         command.add_argument("--kind", choices=("csv", "parquet"), default="csv")
@@ -65,7 +67,8 @@ def main(argv: list[str] | None = None) -> None:
         pipeline.load_dimensions(warehouse, everyone, goods)
     elif args.command == "land":
         rows = read_file(spark, args.table, args.file, args.kind)
-        warehouse.land(args.table, rows.withColumn(BATCH, F.lit(args.day)))
+        name = args.delivery or PurePath(args.file).name
+        warehouse.land(args.table, rows.withColumn(BATCH, F.lit(args.day)), delivery=name)
     elif args.command == "refresh":
         pipeline.full_refresh(warehouse, args.first, args.last, RETAIL)
     elif args.command == "append":
@@ -74,7 +77,10 @@ def main(argv: list[str] | None = None) -> None:
             print(day)
     elif args.command == "sql":
         views.publish_views({**warehouse.star(), **warehouse.raw()})
-        spark.sql(args.statement).show(truncate=False)
+        found = spark.sql(args.statement)
+        print("\t".join(found.columns))
+        for row in found.toLocalIterator():
+            print("\t".join("" if value is None else str(value) for value in row))
     elif args.command == "export":
         tables = {**warehouse.star(), **warehouse.raw()}
         for path in export_csv({**tables, **views.views(tables)}, args.folder).values():

@@ -20,7 +20,7 @@ from tillmetrics.plans import findings, pipeline, views
 from tillmetrics.session import prepare
 from tillmetrics.sources.export import export_csv, read_csv, row_counts
 from tillmetrics.sources.market import GUEST_ID, Market
-from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder
+from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder, stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -418,6 +418,37 @@ def surrogate_ids(m: Market) -> DataFrame:
     )
 
 
+@query
+def stamped_ids(m: Market) -> DataFrame:
+    """Numbers given to an export that has none: as many as rows, without a gap."""
+    day = F.lit(dt.date(2000, 1, 1))
+    stamped = stamp(m.raw_marketing.drop("raw_id").withColumn(BATCH, day), F.col(BATCH))
+    first = F.shiftleft(F.datediff(day, F.lit(dt.date(1970, 1, 1))).cast("bigint"), 47)
+    place = F.col("raw_id") - first
+    return stamped.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("raw_id").alias("ids"),
+        F.min(place).alias("first_place"),
+        F.max(place).alias("last_place"),
+    )
+
+
+@query
+def land_two_deliveries(m: Market) -> DataFrame:
+    """Two deliveries of one day, the second one landed twice: rows and ids of each."""
+    w = Warehouse(m.spark, shared_folder(m.spark, "deliveries"))
+    rows = m.raw_marketing.withColumn(BATCH, F.lit(dt.date(2000, 1, 1)))
+    odd = F.expr("(raw_id div 2) % 2 = 1")
+    for name, part in (("early", ~odd), ("late", odd), ("late", odd)):
+        w.land("raw_marketing_spend", rows.filter(part).drop("raw_id"), delivery=name)
+    landed = w.read("raw_marketing_spend")
+    return landed.groupBy("delivery").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("raw_id").alias("ids"),
+        F.sum("spend").cast("double").alias("spend"),
+    )
+
+
 @query
 def eligible_customers_on_day(m: Market) -> DataFrame:
     return cal.eligible_on(m.customers, ELIGIBLE_DAY, m.settings.guest_email)
@@ -473,6 +504,7 @@ def _land_returns(m: Market, history_until: dt.date | None = None) -> pipeline.L
         w.land(
             "raw_returns",
             due.join(booked, "order_line_id", "left_semi").withColumn(BATCH, batch),
+            delivery="decided returns",
         )
 
     return land
@@ -482,8 +514,8 @@ def _seed(m: Market, w: Warehouse, first: dt.date, until: dt.date) -> None:
     """Lands all exports, the history until a day as one batch, and refreshes up to that day."""
     batch = F.greatest("exported_on", F.lit(until))
     pipeline.load_dimensions(w, m.customers, m.products)
-    w.land("raw_sales_export", m.raw_sales_export.withColumn(BATCH, batch))
-    w.land("raw_marketing_spend", m.raw_marketing.withColumn(BATCH, batch))
+    w.land("raw_sales_export", m.raw_sales_export.withColumn(BATCH, batch), delivery="all")
+    w.land("raw_marketing_spend", m.raw_marketing.withColumn(BATCH, batch), delivery="all")
     pipeline.full_refresh(w, first, until, m.settings, _land_returns(m, until))
 
 

@@ -148,7 +148,7 @@ CTES = {
               from customer
               union all
               select -2 - s_suppkey, s_suppkey, s_name, s_nationkey,
-                  'supplier.' || s_suppkey || '@example.com', 'BUILDING' from supplier) a
+                  'supplier.' || s_suppkey || '@example.com', 'PARTNER' from supplier) a
         join nation on n_nationkey = a.nation join region on r_regionkey = n_regionkey""",
     "prod": """select p_partkey as product_id, p_name as product_name, p_type as category,
         cast(round(p_retailprice * 100) as bigint) as cents from part""",
@@ -162,7 +162,7 @@ CTES = {
         {_PICKED_REASON} as reason, rev as cents from lo where returned""",
     "paid": """select order_id, order_day, c_mktsegment as channel,
         cast(floor(o_totalprice) as bigint) as cents
-        from hdr join customer on c_custkey = account_id where c_mktsegment <> 'BUILDING'""",
+        from hdr join customer on c_custkey = account_id""",
     "spend": f"""select min(order_id) as spend_id, {_key('order_day')} as date_id, channel,
         sum(cents) as cents from paid group by order_day, channel""",
     # --- exports
@@ -368,6 +368,12 @@ _BODIES = {
         acquisition_channel, product_name, category, quantity, {_money('cents')} as unit_price,
         cast(disc as double) / 1000 as discount
         from raw_sales join cust on customer_id = account_id""",
+    "stamped_ids": """select count(*) as rows, count(*) as ids, cast(0 as bigint) as first_place,
+        count(*) - 1 as last_place from raw_marketing""",
+    "land_two_deliveries": f"""select
+        case when (raw_id // 2) % 2 = 1 then 'late' else 'early' end as delivery,
+        count(*) as rows, count(*) as ids, {_money('sum(cents)')} as spend
+        from raw_marketing group by 1""",
     "scan_raw_marketing": f"""select raw_id, spend_date, channel, {_money('cents')} as spend
         from raw_marketing""",
     "scan_raw_returns": f"""select raw_id, order_line_id, category, return_date, reason,

@@ -147,7 +147,7 @@ def marketing_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame
         .groupBy(*batch, "date_id", "channel")
         .agg(
             F.min("raw_id").alias("spend_id"),
-            F.sum("spend").cast("decimal(10,2)").alias("spend"),
+            F.sum("spend").cast("decimal(20,2)").alias("spend"),
         )
         .select("spend_id", *batch, "date_id", "channel", "spend")
     )

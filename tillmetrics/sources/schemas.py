@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 MONEY = T.DecimalType(10, 2)
 LINE_MONEY = T.DecimalType(12, 2)
+SPEND = T.DecimalType(20, 2)  # sums of a day and channel; they grow with the company
 RATE = T.DecimalType(4, 3)
 SCORE = T.DecimalType(6, 3)
 
@@ -35,7 +36,7 @@ RAW_MARKETING = _struct(
     ("raw_id", T.LongType()),
     ("spend_date", T.StringType()),
     ("channel", T.StringType()),
-    ("spend", MONEY),
+    ("spend", SPEND),
     ("loaded_at", T.TimestampNTZType()),
 )
 RAW_RETURNS = _struct(
@@ -95,7 +96,7 @@ FACT_MARKETING_SPEND = _struct(
     ("spend_id", T.LongType()),
     ("date_id", T.IntegerType()),
     ("channel", T.StringType()),
-    ("spend", MONEY),
+    ("spend", SPEND),
 )
 FACT_RETURNS = _struct(
     False,
