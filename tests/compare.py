@@ -81,7 +81,7 @@ def session() -> SparkSession:
 
 if __name__ == "__main__":
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or list(queries())
+    names = sys.argv[2:] or list(oracle_sql())
     spark, con = session(), connect(folder)
     for name in names:
         start = time.perf_counter()

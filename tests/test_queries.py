@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest of the given folders."""
+"""Every query of the metrics library against its SQL, on the smallest of the given folders."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 from compare import connect, differences  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from tillmetrics.checks.catalog import QUERIES  # noqa: E402
+from tillmetrics.checks.oracles import ORACLES  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -21,13 +23,13 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     assert differences(spark, duck, FOLDER, name) == ""
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES) <= set(queries())
 
 
 def test_entry(spark):
