@@ -137,7 +137,7 @@ CTES = {
             from lineitem))""",
     "lo": f"""select li.*, account_id, order_day, {_REVENUE} as rev
         from li join hdr using (order_id)""",
-    "cust": """select -1 as customer_id, 'Guest Checkout' as full_name,
+    "cust": """select -1 as customer_id, 'Guest account' as full_name,
             'guest@checkout.invalid' as email, 'Unknown' as region,
             'Unknown' as acquisition_channel, date '1995-01-01' as signup_date, 0 as activity_score
         union all

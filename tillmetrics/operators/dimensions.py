@@ -16,7 +16,7 @@ def with_guest(
     """The customer dimension with the row that stands for guest checkouts."""
     guest = customers.sparkSession.range(1).select(
         F.lit(guest_id).cast("bigint").alias("customer_id"),
-        F.lit("Guest Checkout").alias("full_name"),
+        F.lit("Guest account").alias("full_name"),
         F.lit(guest_email).alias("email"),
         F.lit(UNKNOWN).alias("region"),
         F.lit(UNKNOWN).alias("acquisition_channel"),
