@@ -24,6 +24,7 @@ CASES = {
     "<aside>s</aside><div role=dialog>d</div><p title='a>b'>a</p><p hidden>h</p>": "a",
     "<table><tr><td>a<td>b<tr><td>c</table>": "a\nb\nc",
     "<p>a</p><div class='download'>kept</div>": "a\nkept",
+    "<p>x</p><div class='story'><div class='story-header'><h1>t</h1></div><p>a</div><div class=ad-header>n</div>": "t\na",
     "<article><p>cut o": "cut o",
     "<p unclosed": "",
     "<script>never ends": "",

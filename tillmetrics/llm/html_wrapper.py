@@ -8,9 +8,10 @@ the same wherever it is aligned is template, one whose text varies is a slot.
 
 Text is kept if it lies in a slot, or in a node with no partner in the wrapper, and no element
 around it says that it is a menu, header, footer, sidebar, notice, advert, form, script, style
-or reader comment. Where a page marks its article (article, main, role=main) only that counts. An
-article and its copies look constant to a host that has little else, so inside a marked
-article template needs WIDE different pages that all agree, and outside FEW.
+or reader comment. Where a page marks its article (article, main, role=main, or a class like
+post-content) only that counts. An article and its copies look constant to a host that has little
+else, so inside a marked article template needs WIDE different pages that all agree, and outside
+FEW.
 
 The first job sends a tree of labels and hashes for each page, not its text: seeds, alignment
 counts and wrappers are aggregated by host, partly before the shuffle. Copies of a page count
@@ -67,6 +68,12 @@ MARKS = frozenset(
     "sponsor sponsored subscribe toolbar widget".split()
 )
 
+# Classes and ids that mark the article as its element would.
+ARTICLES = frozenset(
+    "article article-body article-content entry entry-content main-content post post-body post-content "
+    "story story-body".split()
+)
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>'\"]++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -86,8 +93,10 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
     role, names = found.get("role", ""), f"{found.get('class', '')} {found.get('id', '')}"
     marks = MARKS.intersection(PART.findall(names))
     against = tag in TAGS or role in ROLES or bool(marks - {"header"}) or "hidden" in found
-    lead = tag == "header" or "header" in marks
-    article = not against and (tag in ("article", "main") or role == "main")
+    own = ARTICLES.intersection(names.split())
+    of_article = own or {"article", "entry", "post", "story"}.intersection(PART.findall(names))
+    lead = tag == "header" or "header" in marks and not of_article
+    article = not against and bool(tag in ("article", "main") or role == "main" or own)
     label = ".".join([tag, *sorted(set(found.get("class", "").split())), *[role] * bool(role)])
     # Neighbours that are to be told apart by other attributes don't share a label either.
     return label + "!" * against + "^" * lead, against, lead, article
