@@ -7,8 +7,9 @@ margins, then to the first in the alphabet). Languages outside FAMILIES are fami
 
 The machines are trained on at most SAMPLE rows of each language and SAMPLE_ALL rows in all,
 those with the smallest hash of doc_id, so the sample doesn't depend on how the table is dealt
-out; only their feature vectors (DIMS floats each) come to the driver. Prediction reads the whole
-text of every row and nothing but the text.
+out. Their feature vectors (DIMS floats each) go to one task, which trains the machines; the
+driver only gets the weights. Prediction reads the whole text of every row and nothing but the
+text.
 
 A text that is null or has no letter is `und` with score 0, and so is every text if no labelled
 row has letters. Rows without doc_id are never learned from and not held out; repeated rows give
@@ -18,6 +19,7 @@ repeated results; other columns are ignored; an empty table gives an empty resul
 from __future__ import annotations
 
 import itertools
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -71,17 +73,19 @@ def features(text: str, dims: int = DIMS) -> np.ndarray:
 
 def machine(x: np.ndarray, y: np.ndarray, cost: float = 4.0, rounds: int = 12) -> np.ndarray:
     """Weights of a linear support vector machine (squared hinge loss, dual coordinate descent)."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)]).astype(np.float64)
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    diagonal = (x * x).sum(axis=1) + 0.5 / cost
+    w, offset, alpha = np.zeros(x.shape[1], np.float32), 0.0, np.zeros(len(x))
+    diagonal = np.einsum("ij,ij->i", x, x) + 1 + 0.5 / cost
     shuffled = np.random.default_rng(0)
     for _ in range(rounds):
         for i in shuffled.permutation(len(x)):
-            step = (y[i] * (x[i] @ w) - 1 + alpha[i] * 0.5 / cost) / diagonal[i]
-            new = max(alpha[i] - step, 0.0)
-            w += (new - alpha[i]) * y[i] * x[i]
+            margin = y[i] * (float(x[i] @ w) + offset)
+            new = max(alpha[i] - (margin - 1 + alpha[i] * 0.5 / cost) / diagonal[i], 0.0)
+            change = (new - alpha[i]) * y[i]
+            if change:
+                w += np.float32(change) * x[i]
+                offset += change
             alpha[i] = new
-    return w.astype(np.float32)
+    return np.append(w, np.float32(offset))
 
 
 @dataclass
@@ -112,9 +116,7 @@ class Model:
         return language, score * float(1 / (1 + np.exp(-2 * min(beaten)))) if beaten else score
 
 
-def train(x: np.ndarray, languages: list[str]) -> Model | None:
-    if not len(x):
-        return None
+def train(x: np.ndarray, languages: list[str]) -> Model:
     known = np.array(languages)
     family = np.array([family_of(k) for k in languages])
     families = sorted(set(family))
@@ -178,14 +180,21 @@ def learn(docs: DataFrame, sample: int = SAMPLE, sample_all: int = SAMPLE_ALL) -
                 ["draw", "lang", "x"],
             )
 
-    found = drawn.mapInArrow(run, "draw long, lang string, x binary").collect()
-    chosen = []
-    for _, rows in itertools.groupby(
-        sorted(found, key=lambda r: (r["lang"], r["draw"], r["x"])), key=lambda r: r["lang"]
-    ):
-        chosen += list(rows)[:each]
-    x = np.stack([np.frombuffer(r["x"], np.float32) for r in chosen]) if chosen else np.empty(0)
-    return train(x, [r["lang"] for r in chosen])
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("lang", "draw", "x")))]
+        chosen = []
+        for _, rows in itertools.groupby(sorted(held), key=lambda r: r[0]):
+            chosen += list(rows)[:each]
+        if chosen:
+            x = np.frombuffer(b"".join(r[2] for r in chosen), np.float32).reshape(len(chosen), -1)
+            made = train(x, [r[0] for r in chosen])
+            parts = made.families, made.languages, made.family_weights, made.pair_weights
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(parts)], pa.binary())], ["model"])
+
+    # The bounded sample is what one task learns from; the driver gets the weights alone.
+    sampled = drawn.mapInArrow(run, "draw long, lang string, x binary").repartition(1)
+    found = sampled.mapInArrow(fit, "model binary").collect()
+    return Model(*pickle.loads(found[0]["model"])) if found else None
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
