@@ -277,6 +277,33 @@ def test_ids_follow_the_input_order(spark):
     assert found[1] - found[0] == 299_999 and found[0] == ids[0] + 7
 
 
+def test_ids_of_rows_that_a_shuffle_deals(spark, tmp_path):
+    """A job that reads fewer columns of a shuffle has fewer, larger tasks."""
+    deals = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {name: spark.conf.get(name) for name in deals}
+    try:
+        for name, value in deals.items():
+            spark.conf.set(name, value)
+        note = F.concat_ws("", *[F.sha2(F.concat("id", F.lit(f"/{i}")), 256) for i in range(4)])
+        given = spark.range(20_000).withColumn("reason", note).repartition("id").withColumn(BATCH, F.lit(FIRST))
+        ids = [r["raw_id"] for r in stamp(given, F.col(BATCH)).select("raw_id", "reason").collect()]
+        w = Warehouse(spark, str(tmp_path / "warehouse"))
+        w.land("raw_returns", given.selectExpr("id as order_line_id", "reason", BATCH).select(
+            *[F.col(f.name) if f.name in ("order_line_id", "reason") else F.lit(None).cast(f.dataType).alias(f.name)
+              for f in S.RAW_RETURNS.fields if f.name not in ("raw_id", "loaded_at")], BATCH), delivery="desk")
+        landed = [r["raw_id"] for r in w.read("raw_returns").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    for found in (ids, landed):
+        assert len(found) == len(set(found)) == 20_000 == max(found) - min(found) + 1
+
+
 def test_failed_run_stays_out_of_sight(warehouse, frame, rows):
     before = {k: sorted(map(str, v.collect())) for k, v in views.views(warehouse.star()).items()}
     land_sales(warehouse, frame, [sale("2026-01-05", 50)])
