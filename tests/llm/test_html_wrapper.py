@@ -36,6 +36,28 @@ def test_text_of_a_page(source):
     assert text(source) == CASES[source]
 
 
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<body class='right-sidebar'>{}",
+        "<body class='no-sidebar comments-open'>{}",
+        "<body class='has-header' id=header>{}",
+        "<html class=widget><body class=sidebar>{}",
+        "<div class='elementor-widget-container'>{}</div>",
+        "<div class='widget'><div class='header'>{}</div></div>",
+        "<header>{}</header>",
+    ],
+)
+def test_names_of_a_layout_empty_no_article(around):
+    articles = ["<article class='post category-notices'><p>a</article>", "<main class=sidebar>a</main>"]
+    for article in articles:
+        assert text(around.format(article)) == "a"
+    if "<body" in around or "elementor" in around:
+        assert text(around.format("<p>a")) == "a"
+    assert text("<article>a</article><div class=widget><article>t</article></div>") == "a"
+    assert text("<article>a</article><article class=comment>c</article>") == "a"
+
+
 def test_matching_keeps_order_and_ancestry():
     seed, page = H.Page("<div><p>a<ul><li>b</ul><h2>c</h2></div>"), H.Page("<div><h3>n</h3><p>a<h2>c</h2><ul><li>x</ul></div>")
     paired = H.align(page.shape(), seed.shape())

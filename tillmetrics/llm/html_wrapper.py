@@ -8,7 +8,8 @@ the same wherever it is aligned is template, one whose text varies is a slot.
 
 Text is kept if it lies in a slot, or in a node with no partner in the wrapper, and no element
 around it says that it is a menu, header, footer, sidebar, notice, advert, form, script, style
-or reader comment. Where a page marks its article (article, main, role=main, or a class like
+or reader comment. Classes and ids say so by whole names, but not those of html, body, the article
+or, where it is the only one, what holds it. Where a page marks its article (article, main, role=main, or a class like
 post-content) only that counts. An article and its copies look constant to a host that has little
 else, so inside a marked article template needs WIDE different pages that all agree, and outside
 FEW.
@@ -67,6 +68,8 @@ MARKS = frozenset(
     "promoted promotion related replies respond search share sharing sidebar signup social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
+# Marks of what has articles of its own.
+OTHERS = frozenset("comment comments disqus related replies respond".split())
 
 # Classes and ids that mark the article as its element would.
 ARTICLES = frozenset(
@@ -85,21 +88,29 @@ PART = re.compile(r"[a-z]+")
 
 
 @lru_cache(4096)
-def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
-    """Label; whether its names speak against it; whether it is a header; whether it is an article."""
+def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool, bool]:
+    """Label; whether the element, or only its names, speak against it; header or not; article or not.
+
+    A class or id counts if all words in it are marks: cookie-notice, but not has-sidebar, which may
+    as well name a layout. What other names mean is left to the wrapper.
+    """
     found = {}
     for name, value in ATTRIBUTE.findall(attributes):
         found.setdefault(name.lower(), html.unescape(value.strip("\"'")).lower())
-    role, names = found.get("role", ""), f"{found.get('class', '')} {found.get('id', '')}"
-    marks = MARKS.intersection(PART.findall(names))
-    against = tag in TAGS or role in ROLES or bool(marks - {"header"}) or "hidden" in found
-    own = ARTICLES.intersection(names.split())
-    of_article = own or {"article", "entry", "post", "story"}.intersection(PART.findall(names))
-    lead = tag == "header" or "header" in marks and not of_article
-    article = not against and bool(tag in ("article", "main") or role == "main" or own)
+    role, names = found.get("role", ""), f"{found.get('class', '')} {found.get('id', '')}".split()
+    own = ARTICLES.intersection(names)
+    marks_article = tag in ("article", "main") or role == "main" or bool(own)
+    marks = set()
+    for parts in map(PART.findall, names if tag not in ("html", "body") else ()):
+        if MARKS.issuperset(parts):
+            marks.update(parts)
+    against = tag in TAGS or role in ROLES or bool(marks & OTHERS) or "hidden" in found
+    named = bool(marks - OTHERS - {"header"}) and not marks_article
+    lead = tag == "header" or "header" in marks and not marks_article
+    article = not against and marks_article
     label = ".".join([tag, *sorted(set(found.get("class", "").split())), *[role] * bool(role)])
     # Neighbours that are to be told apart by other attributes don't share a label either.
-    return label + "!" * against + "^" * lead, against, lead, article
+    return label + "!" * (against or named) + "^" * lead, against, named, lead, article
 
 
 class Page:
@@ -107,27 +118,53 @@ class Page:
 
     def __init__(self, source: str):
         self.parents, self.labels = [-1], ["#page"]
-        self.against, self.inside, self.lead = [False], [False], [False]
+        self.never = [False]  # by what an element is, or lies in
+        self._kinds = [(False, False, False)]  # against by its names alone, header, article
         self.pieces: list[tuple[int, int, str]] = []  # block, node, text
         self._last_child: dict[int, int] = {}
         self._block = 0
         self._read(source)
+        self._judge(set())
+        if not any(self.inside):
+            # Names don't speak against what holds the only articles.
+            self._judge(self._around_articles())
+        self.pieces = [p for p in self.pieces if not self.against[p[1]]]
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
-        label, against, lead, article = _element(tag, attributes)
+        label, against, *kinds = _element(tag, attributes)
         last = self._last_child.get(parent)
         if last is not None and self.labels[last] == label:
             return last
         self.parents.append(parent)
         self.labels.append(label)
-        inside = self.inside[parent] or article and not self.against[parent]
-        self.against.append(self.against[parent] or against or lead and not inside)
-        self.inside.append(inside)
+        self.never.append(self.never[parent] or against)
+        self._kinds.append(tuple(kinds))
         self._last_child[parent] = node = len(self.labels) - 1
         return node
 
+    def _around_articles(self) -> set[int]:
+        around: set[int] = set()
+        for node, (_, _, article) in enumerate(self._kinds):
+            if article and not self.never[node]:
+                while node >= 0 and node not in around:
+                    around.add(node)
+                    node = self.parents[node]
+        return around
+
+    def _judge(self, spared: set[int]) -> None:
+        """Which nodes are dropped, and which lie in an article."""
+        self.against, self.inside = [False], [False]
+        for node in range(1, len(self.labels)):
+            parent, (named, lead, article) = self.parents[node], self._kinds[node]
+            inside = self.inside[parent] or article and not self.against[parent]
+            named, lead = (x and node not in spared for x in (named, lead))
+            self.against.append(
+                self.never[node] or self.against[parent] or named or lead and not inside
+            )
+            self.inside.append(inside)
+
     def _say(self, node: int, text: str) -> None:
-        if text and not self.against[node]:
+        if text and not self.never[node]:
             self.pieces.append((self._block, node, text))
 
     def _read(self, source: str) -> None:
