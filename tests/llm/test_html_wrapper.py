@@ -93,6 +93,17 @@ def test_template_inside_an_article_needs_many_pages(spark):
     assert found[0] == "story 0" and found[100] == "Share this\nstory 0"
 
 
+@pytest.mark.parametrize("first", [None, "", "<body><div class=t", "<ul><li>index", "<h1>error</h1>"])
+def test_wrapper_of_all_pages(spark, first):
+    rows = [(0, "http://a.example/", first)]
+    rows += [(10 + i, "http://a.example/", page(i, f"<p>story {i}")) for i in range(6)]
+    other = "<table class=list><tr><td>Our shop</table><h2>item {}</h2><p>Call us</p>".format
+    rows += [(100 + i, "http://a.example/", other(i)) for i in range(4)]
+    found = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [found[10 + i] for i in range(6)] == [f"story {i}" for i in range(6)]
+    assert [found[100 + i] for i in range(4)] == [f"item {i}" for i in range(4)]
+
+
 def test_odd_rows(spark, folder):
     rows = [(1, None, None), (2, "no url", ""), (None, "http://x.example/", "<p>a"), (3, None, "<p>b")]
     rows += [rows[3], (4, "http://x.example/", "<p>" + "long &amp; " * 50_000), (5, None, "<div>" * 3000 + "deep")]

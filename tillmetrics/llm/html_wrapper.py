@@ -1,12 +1,14 @@
 """Main text of web pages by wrapper induction over the pages of a host.
 
 A page becomes a tree of elements in which neighbours with the same label (tag, class, role) are
-one repeated node. A host's wrapper is the tree of its first page (smallest page_id); the
-trees of all its pages are aligned with it by simple tree matching, which finds the largest
-number of pairs of nodes with equal labels that keeps order and ancestry. A node whose text is
-the same wherever it is aligned is template, one whose text varies is a slot.
-
-Text is kept if it lies in a slot, or in a node with no partner in the wrapper, and no element
+one repeated node. A host's wrapper is the tree that most of its different pages have (of those with
+text); the trees of all its pages are aligned with it by simple tree matching, which finds the
+largest number of pairs of nodes with equal labels that keeps order and ancestry. Nodes that stay
+unaligned, as in pages of other layouts, meet by their paths: the labels from the root down, each
+with its place among equal ones. A node whose text is the same wherever it is found is template,
+one whose text varies is a slot.
+
+Text is kept if it lies in a slot, or in a node that too few pages have, and no element
 around it says that it is a menu, header, footer, sidebar, notice, advert, form, script, style
 or reader comment. Classes and ids say so by whole names, but not those of html, body, the article
 or, where it is the only one, what holds it. Where a page marks its article (article, main, role=main, or a class like
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from tillmetrics.llm.text import shared_folder, table
 
 FEW, WIDE = 3, 8  # different pages that must agree on a node's text
+SEED, PATH = 0, 1  # how nodes meet
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -301,6 +304,26 @@ def align(shape: str, seed: str) -> dict[int, int]:
     return paired
 
 
+@lru_cache(4096)
+def paths(shape: str) -> list[int]:
+    """For each node, the hash of its labels from the root and their places among equal siblings."""
+    labels, below = _tree(shape)
+    made = [xxhash.xxh64_intdigest(labels[0]) - 2**63] * len(labels)
+    for node, children in enumerate(below):
+        seen: dict[str, int] = {}
+        for child in children:
+            place = seen[labels[child]] = seen.get(labels[child], 0) + 1
+            made[child] = xxhash.xxh64_intdigest(f"{made[node]} {place} {labels[child]}") - 2**63
+    return made
+
+
+def found_at(shape: str, seed: str) -> list[tuple[int, int]]:
+    """For each node, where it meets others: its partner in the seed, or else its path."""
+    paired, size = align(shape, seed), shape.count("\n") + 1
+    path = paths(shape) if len(paired) < size else []
+    return [(SEED, paired[n]) if n in paired else (PATH, path[n]) for n in range(size)]
+
+
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shapes, nodes, hashes, pages = [], [], [], []
@@ -313,14 +336,13 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pages.append(xxhash.xxh64_intdigest(f"{shapes[-1]} {sorted(own.items())}") - 2**63)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column("page_id"),
                 batch.column("host"),
                 pa.array(shapes, pa.string()),
                 pa.array(nodes, pa.list_(pa.int32())),
                 pa.array(hashes, pa.list_(pa.int64())),
                 pa.array(pages, pa.int64()),
             ],
-            ["page_id", "host", "shape", "nodes", "hashes", "content"],
+            ["host", "shape", "nodes", "hashes", "content"],
         )
 
 
@@ -329,12 +351,17 @@ def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = []
         columns = (batch.column(c).to_pylist() for c in ("host", "shape", "seed", "nodes", "hashes"))
         for host, shape, seed, nodes, hashes in zip(*columns):
-            paired = align(shape, seed)
-            made += [(host, paired[n], h) for n, h in zip(nodes, hashes) if n in paired]
-        host, node, own = zip(*made) if made else ((), (), ())
+            at = found_at(shape, seed)
+            made += [(host, *at[n], h) for n, h in zip(nodes, hashes)]
+        host, kind, node, own = zip(*made) if made else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(host, pa.string()), pa.array(node, pa.int32()), pa.array(own, pa.int64())],
-            ["host", "node", "hash"],
+            [
+                pa.array(host, pa.string()),
+                pa.array(kind, pa.int32()),
+                pa.array(node, pa.int64()),
+                pa.array(own, pa.int64()),
+            ],
+            ["host", "kind", "node", "hash"],
         )
 
 
@@ -346,27 +373,37 @@ def with_host(pages: DataFrame) -> DataFrame:
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, its seed's shape, number of different pages, and what all of them say at a node."""
     shared_folder(pages.sparkSession)
-    trees = with_host(pages).select("page_id", "host", "html")
+    trees = with_host(pages).select("host", "html")
     trees = trees.mapInArrow(
-        _trees,
-        "page_id long, host string, shape string, nodes array<int>, hashes array<long>, content long",
-    ).checkpoint()
-    first = F.struct(F.col("page_id").isNull(), "page_id", "content")
-    seeds = trees.groupBy("host").agg(F.min_by("shape", first).alias("seed"))
-    distinct = trees.groupBy("host", "content").agg(
-        F.first("shape").alias("shape"), F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")
+        _trees, "host string, shape string, nodes array<int>, hashes array<long>, content long"
+    )
+    distinct = (
+        trees.groupBy("host", "content")
+        .agg(
+            F.first("shape").alias("shape"), F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")
+        )
+        .checkpoint()
+    )
+    shapes = distinct.groupBy("host", F.xxhash64("shape").alias("key")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.size("nodes")).alias("said"),
+        F.min("shape").alias("shape"),
+    )
+    # A page without text has no boilerplate to find, however often it is there.
+    rank = F.struct(F.col("said") > 0, "n", "said", "key")
+    seeds = shapes.groupBy("host").agg(F.max_by("shape", rank).alias("seed"), F.sum("n").alias("pages"))
+    said = distinct.join(seeds, "host").mapInArrow(
+        _aligned, "host string, kind int, node long, hash long"
     )
-    counts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    said = distinct.join(seeds, "host").mapInArrow(_aligned, "host string, node int, hash long")
     constant = (
-        said.groupBy("host", "node")
+        said.groupBy("host", "kind", "node")
         .agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
         .filter(f"low = high and n >= {FEW}")
     )
     listed = constant.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct("node", "n"))).alias("constant")
+        F.array_sort(F.collect_list(F.struct("kind", "node", "n"))).alias("constant")
     )
-    return seeds.join(counts, "host").join(listed, "host", "left")
+    return seeds.join(listed, "host", "left")
 
 
 def _extract(kept: list[str]) -> Callable:
@@ -377,9 +414,9 @@ def _extract(kept: list[str]) -> Callable:
             for source, seed, pages, constant in zip(*columns):
                 page, template = Page(source or ""), set()
                 if constant:
-                    agreed = {c["node"]: c["n"] for c in constant}
-                    for node, partner in align(page.shape(), seed).items():
-                        n = agreed.get(partner, 0)
+                    agreed = {(c["kind"], c["node"]): c["n"] for c in constant}
+                    for node, at in enumerate(found_at(page.shape(), seed)):
+                        n = agreed.get(at, 0)
                         if n and (not page.inside[node] or n >= WIDE and n == pages):
                             template.add(node)
                 texts.append(page.text(template))
