@@ -104,6 +104,17 @@ def test_wrapper_of_all_pages(spark, first):
     assert [found[100 + i] for i in range(4)] == [f"item {i}" for i in range(4)]
 
 
+def test_pages_without_the_article_change_nothing_in_it(spark):
+    body = "<article><div>Share this</div><p>story {}</article>".format
+    rows = [(i, "http://wide.example/", body(i)) for i in range(H.WIDE + 3)]
+    rows += [(50, "http://wide.example/", "<ul><li>index</ul>"), (51, "http://wide.example/", "")]
+    rows += [(100 + i, "http://some.example/", body(i)) for i in range(H.WIDE)]
+    rows += [(150, "http://some.example/", "<article><p>story alone</article>")]
+    found = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert [found[i] for i in range(H.WIDE + 3)] == [f"story {i}" for i in range(H.WIDE + 3)]
+    assert found[100] == "Share this\nstory 0" and found[150] == "story alone"
+
+
 def test_odd_rows(spark, folder):
     rows = [(1, None, None), (2, "no url", ""), (None, "http://x.example/", "<p>a"), (3, None, "<p>b")]
     rows += [rows[3], (4, "http://x.example/", "<p>" + "long &amp; " * 50_000), (5, None, "<div>" * 3000 + "deep")]

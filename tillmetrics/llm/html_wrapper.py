@@ -13,8 +13,8 @@ around it says that it is a menu, header, footer, sidebar, notice, advert, form,
 or reader comment. Classes and ids say so by whole names, but not those of html, body, the article
 or, where it is the only one, what holds it. Where a page marks its article (article, main, role=main, or a class like
 post-content) only that counts. An article and its copies look constant to a host that has little
-else, so inside a marked article template needs WIDE different pages that all agree, and outside
-FEW.
+else, so inside a marked article template needs WIDE different pages, and every page of the host that has
+this article element must have the node and agree; outside, FEW that agree.
 
 The first job sends a tree of labels and hashes for each page, not its text: seeds, alignment
 counts and wrappers are aggregated by host, partly before the shuffle. Copies of a page count
@@ -42,6 +42,7 @@ from tillmetrics.llm.text import shared_folder, table
 
 FEW, WIDE = 3, 8  # different pages that must agree on a node's text
 SEED, PATH = 0, 1  # how nodes meet
+ARTICLE = 2  # added for the element that marks an article
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -156,7 +157,7 @@ class Page:
 
     def _judge(self, spared: set[int]) -> None:
         """Which nodes are dropped, and which lie in an article."""
-        self.against, self.inside = [False], [False]
+        self.against, self.inside, self.article = [False], [False], [-1]
         for node in range(1, len(self.labels)):
             parent, (named, lead, article) = self.parents[node], self._kinds[node]
             inside = self.inside[parent] or article and not self.against[parent]
@@ -165,6 +166,7 @@ class Page:
                 self.never[node] or self.against[parent] or named or lead and not inside
             )
             self.inside.append(inside)
+            self.article.append((self.article[parent] if self.inside[parent] else node) if inside else -1)
 
     def _say(self, node: int, text: str) -> None:
         if text and not self.never[node]:
@@ -326,13 +328,14 @@ def found_at(shape: str, seed: str) -> list[tuple[int, int]]:
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        shapes, nodes, hashes, pages = [], [], [], []
+        shapes, nodes, hashes, articles, pages = [], [], [], [], []
         for source in batch.column("html").to_pylist():
             page = Page(source or "")
             own = page.hashes()
             shapes.append(page.shape())
             nodes.append(list(own))
             hashes.append(list(own.values()))
+            articles.append(sorted({a for a in page.article if a >= 0}))
             pages.append(xxhash.xxh64_intdigest(f"{shapes[-1]} {sorted(own.items())}") - 2**63)
         yield pa.RecordBatch.from_arrays(
             [
@@ -340,19 +343,22 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(shapes, pa.string()),
                 pa.array(nodes, pa.list_(pa.int32())),
                 pa.array(hashes, pa.list_(pa.int64())),
+                pa.array(articles, pa.list_(pa.int32())),
                 pa.array(pages, pa.int64()),
             ],
-            ["host", "shape", "nodes", "hashes", "content"],
+            ["host", "shape", "nodes", "hashes", "articles", "content"],
         )
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = []
-        columns = (batch.column(c).to_pylist() for c in ("host", "shape", "seed", "nodes", "hashes"))
-        for host, shape, seed, nodes, hashes in zip(*columns):
+        names = ("host", "shape", "seed", "nodes", "hashes", "articles")
+        columns = (batch.column(c).to_pylist() for c in names)
+        for host, shape, seed, nodes, hashes, articles in zip(*columns):
             at = found_at(shape, seed)
             made += [(host, *at[n], h) for n, h in zip(nodes, hashes)]
+            made += [(host, at[n][0] + ARTICLE, at[n][1], 0) for n in articles]
         host, kind, node, own = zip(*made) if made else ((), (), (), ())
         yield pa.RecordBatch.from_arrays(
             [
@@ -371,16 +377,17 @@ def with_host(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, its seed's shape, number of different pages, and what all of them say at a node."""
+    """host, its seed's shape, and how many different pages say the same at a node or have an article."""
     shared_folder(pages.sparkSession)
     trees = with_host(pages).select("host", "html")
     trees = trees.mapInArrow(
-        _trees, "host string, shape string, nodes array<int>, hashes array<long>, content long"
+        _trees,
+        "host string, shape string, nodes array<int>, hashes array<long>, articles array<int>, content long",
     )
     distinct = (
         trees.groupBy("host", "content")
         .agg(
-            F.first("shape").alias("shape"), F.first("nodes").alias("nodes"), F.first("hashes").alias("hashes")
+            *[F.first(c).alias(c) for c in ("shape", "nodes", "hashes", "articles")],
         )
         .checkpoint()
     )
@@ -391,14 +398,14 @@ def wrappers(pages: DataFrame) -> DataFrame:
     )
     # A page without text has no boilerplate to find, however often it is there.
     rank = F.struct(F.col("said") > 0, "n", "said", "key")
-    seeds = shapes.groupBy("host").agg(F.max_by("shape", rank).alias("seed"), F.sum("n").alias("pages"))
+    seeds = shapes.groupBy("host").agg(F.max_by("shape", rank).alias("seed"))
     said = distinct.join(seeds, "host").mapInArrow(
         _aligned, "host string, kind int, node long, hash long"
     )
     constant = (
         said.groupBy("host", "kind", "node")
         .agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
-        .filter(f"low = high and n >= {FEW}")
+        .filter(f"low = high and n >= if(kind < {ARTICLE}, {FEW}, {WIDE})")
     )
     listed = constant.groupBy("host").agg(
         F.array_sort(F.collect_list(F.struct("kind", "node", "n"))).alias("constant")
@@ -410,14 +417,18 @@ def _extract(kept: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            columns = (batch.column(c).to_pylist() for c in ("html", "seed", "pages", "constant"))
-            for source, seed, pages, constant in zip(*columns):
+            columns = (batch.column(c).to_pylist() for c in ("html", "seed", "constant"))
+            for source, seed, constant in zip(*columns):
                 page, template = Page(source or ""), set()
                 if constant:
                     agreed = {(c["kind"], c["node"]): c["n"] for c in constant}
-                    for node, at in enumerate(found_at(page.shape(), seed)):
-                        n = agreed.get(at, 0)
-                        if n and (not page.inside[node] or n >= WIDE and n == pages):
+                    at = found_at(page.shape(), seed)
+                    for node, article in enumerate(page.article):
+                        n = agreed.get(at[node], 0)
+                        if n and article >= 0:
+                            kind, place = at[article]
+                            n = n >= WIDE and n == agreed.get((kind + ARTICLE, place))
+                        if n:
                             template.add(node)
                 texts.append(page.text(template))
             yield pa.RecordBatch.from_arrays(
@@ -437,7 +448,7 @@ def extract(pages: DataFrame) -> DataFrame:
     own = pages.select("page_id", "url", "html")
     learnt = wrappers(own).withColumnRenamed("host", "host_")
     joined = with_host(own).join(learnt, F.col("host") == F.col("host_"), "left")
-    return joined.select("page_id", "url", "html", "seed", "pages", "constant").mapInArrow(
+    return joined.select("page_id", "url", "html", "seed", "constant").mapInArrow(
         _extract(["page_id", "url"]), "page_id long, url string, text string, n_chars long"
     )
 
