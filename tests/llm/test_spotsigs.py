@@ -55,6 +55,24 @@ def test_against_plain_python(spark, documents, dice, folder, monkeypatch):
     check(rows, X.op6_spotsigs(spark, folder(documents=documents(rows))).collect())
 
 
+def test_text_without_common_words_is_covered(spark, documents, dice, folder):
+    free = lambda n: [f"q{dice.randrange(10**6)}" for _ in range(n)]
+    head, first, second = free(2), free(80), free(80)
+    rows = [
+        (1, " ".join(head + first)),  # begin alike, nothing else in common
+        (2, " ".join(head + second)),
+        (3, " ".join(["the", *first, "of", *second[:20]])),
+        (4, " ".join(head)),
+        (5, "старый дом стоит у реки много лет подряд без крыши"),
+    ]
+    found = {r.doc_id: r for r in X.op6_spotsigs(spark, folder(documents=documents(rows))).collect()}
+    assert [len(found[i].fingerprint) // 8 for i in (1, 2, 4, 5)] == [81, 81, 1, 9]
+    assert found[1].near_next == 1 / 161 and found[1].fingerprint != found[2].fingerprint
+    assert 0.4 < found[1].near_edited < 0.8
+    assert len(found[3].fingerprint) // 8 == 3 + 78  # ^, the, of; chains within the gap
+    assert found[2].near_next == 0.0
+
+
 def test_ties_and_small_tables(spark, documents, folder):
     rows = [(1, "the same text here"), (1, "the same text here"), (2, "the same text here")]
     found = X.op6_spotsigs(spark, folder(documents=documents(rows))).collect()

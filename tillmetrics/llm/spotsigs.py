@@ -3,8 +3,13 @@
 Common words (articles, prepositions and the like of four languages) are anchors. A signature is
 an anchor with the chain of the next CHAIN content words, common ones in between left out; the
 beginning of a text counts as an anchor. The set of a text's signatures, each a 32-bit hash, is its
-fingerprint: sorted, eight hexadecimal digits each. Menus and other text with few common words
-hardly show up in it.
+fingerprint: sorted, eight hexadecimal digits each.
+
+Text of other languages, code and lists have few of these words or none. Where a text of BARE words
+or more has no anchor but its beginning, or GAP content words follow each other without one, every
+word there is an anchor, so that signatures cover the whole text. This depends on the text alone: a
+fingerprint does not change with the other documents. Shorter texts without a common word are still
+known by their first CHAIN words only.
 
 near_duplicates() compares fingerprints by Jaccard. Equal sets form a class, and its smallest
 fingerprint row stands for it. Sets are partitioned by length so that partners lie in the same
@@ -33,6 +38,8 @@ from pyspark.sql import functions as F
 from tillmetrics.llm.text import table, whole, words
 
 CHAIN = 2  # content words
+BARE = 10  # words of a text without any anchor that are anchors themselves
+GAP = 32  # content words in a row that are, in other texts
 THRESHOLD = 0.8
 RANGE_ROWS = 2048  # rows that a range of ids holds, about, while there are less than MOST_RANGES
 MOST_RANGES = 65_536
@@ -57,7 +64,17 @@ def signatures(text: Column | str, chain: int = CHAIN) -> Column:
     skipped, content = rf"(?: {MARK}\S+)*+", rf" [^{MARK} ]\S*+"
     pattern = rf"{MARK}(?=(\S++{(skipped + content) * chain}))"
     found = F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
-    made = F.transform(found, lambda s: F.hash(F.regexp_replace(s, rf" {MARK}\S+", "")))
+    rows_of = lambda n: F.regexp_extract_all(line, F.lit(rf"(?:{content}){{{n},}}+"), F.lit(0))
+    chains = F.lit(rf" (?=(\S++(?: \S++){{{chain}}}))")
+    filled = F.flatten(
+        F.transform(
+            F.when(line.contains(f" {MARK}"), rows_of(GAP)).otherwise(rows_of(BARE)),
+            lambda s: F.regexp_extract_all(s, chains, F.lit(1)),
+        )
+    )
+    made = F.transform(
+        F.concat(found, filled), lambda s: F.hash(F.regexp_replace(s, rf" {MARK}\S+", ""))
+    )
     none = F.when(F.size(words(text)) > 0, F.array(F.hash(line))).otherwise(
         F.array().cast("array<int>")
     )
