@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillmetrics.llm import names as N
@@ -65,6 +66,31 @@ def test_query_on_prose(spark, documents, dice, folder):
     assert sorted(map(tuple, found)) == sorted(want)
 
 
+def test_windows_of_a_crowded_anchor_carry_no_bytes(dice):
+    line, size = "a frequent line of forty bytes and no more", 60
+    texts = [prose(dice, 20) + line + prose(dice, 20) for _ in range(50)]
+    texts += [texts[0] + "!"]
+    rows = []
+    for i, t in enumerate(texts):
+        first = t.index(line)
+        at = X._pack(first - 10, 5, 10)
+        run = {"g": 7, "n": 1, "at": at, "crowded": True}
+        rows.append({"doc_key": i, "text_key": i, "text": t, "runs": [run]})
+    made = list(X._fetch_bytes(size)(iter([pa.RecordBatch.from_pylist(rows)])))
+    found = pa.Table.from_batches(made).to_pylist()
+    assert len(found) == 5 * len(texts) and not any(r["bytes"] for r in found)
+    groups = Counter((r["g"], r["part"], r["name"]) for r in found)
+    assert max(groups.values()) == 2  # real repeats only
+    found.sort(key=lambda r: (r["g"], r["part"], r["name"]))
+    schema = made[0].schema
+    for step in (1, 3, 1000):  # groups that end within a batch, or not
+        batches = [pa.RecordBatch.from_pylist(found[i : i + step], schema) for i in range(0, len(found), step)]
+        hits = [r for b in X._compare_windows(size)(iter(batches)) for r in b.to_pylist()]
+        said = sorted((r["doc_key"], X._unpack(r["at"])[:2]) for r in hits)
+        first = texts[0].index(line) - 10
+        assert said == sorted((i, (first + k, 1)) for i in (0, 50) for k in range(5))
+
+
 def test_text_that_stays(documents):
     text = "é" + "0123456789" * 3
     rows = [(1, "head " + text + " tail", 5, "a"), (2, text, 6, "b"), (3, "short", 7, "c"), (4, None, 8, "d")]

@@ -14,8 +14,9 @@ equal anchors at equal offsets. Neighbouring windows with the same anchor make a
 2. Spark sorts the rows by (g, c). A run alone in its g is unique. Runs that share g and c repeat
    with all their windows. Where one g has several c, some windows may be equal: one run of
    each c goes on with its bytes.
-3. Spark sorts those by g, and tasks name their single windows, at LENGTH bytes. A g with more
-   than CROWD of them is dealt out by offset, each offset a group of its own.
+3. Spark sorts those by g, and tasks name their single windows, at LENGTH bytes. Windows of a g with
+   more than CROWD runs are named where their text is read, and dealt by name and offset without
+   their bytes: neighbours of one name are repeats, so no group is held as a whole.
 4. The starts of repeated windows meet their texts again, and the covered bytes go.
 
 Copies within a task are merged before the shuffle, so a text or passage with a third of all rows
@@ -37,6 +38,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -201,43 +203,74 @@ def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from judge(rest, None)
 
 
-WINDOWS = "g long, part long, n long, doc_key long, text_key long, at long, bytes binary"
+WINDOWS = "g long, part long, name long, n long, doc_key long, text_key long, at long, bytes binary"
+FIELDS = [x.split()[0] for x in WINDOWS.split(", ")]
+
+
+def _named(crowded: list[tuple], length: int) -> pa.RecordBatch:
+    """A row without bytes for each window of the runs of crowded anchors."""
+    g, n, doc_key, text_key, first, windows, offset, held = zip(*crowded)
+    sizes = np.array([len(b) for b in held])
+    full = of_length(doubled(np.frombuffer(b"".join(held) + bytes(8), np.uint8), length), length)
+    windows = np.array(windows)
+    row = np.repeat(np.arange(len(g)), windows)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
+    g, n, doc_key, text_key, first, offset = (
+        np.array(x, np.int64)[row] for x in (g, n, doc_key, text_key, first, offset)
+    )
+    name = full[(np.cumsum(sizes) - sizes)[row] + step]
+    at = _pack(first + step, np.ones_like(step), np.zeros_like(step))
+    columns = [g, offset - step, _signed(name), n, doc_key, text_key, at]
+    return _batch([*columns, pa.nulls(len(row), pa.binary())], FIELDS)
 
 
 def _fetch_bytes(length: int) -> Callable:
-    """The bytes of the open runs of each text; runs of a crowded anchor window by window."""
+    """The bytes of the open runs of each text; of a crowded anchor, the names of all windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        crowded, waiting = [], 0
         for batch in batches:
             for row in batch.to_pylist():
                 text, made = row["text"].encode("utf-8"), []
                 for x in row["runs"]:
                     first, windows, offset = _unpack(x["at"])
-                    own = [(first, windows, offset, -1)]
-                    if x["crowded"]:
-                        own = [(first + i, 1, offset, offset - i) for i in range(windows)]
-                    made += [
-                        (x["g"], part, x["n"], row["doc_key"], row["text_key"])
-                        + (_pack(s, w, o if part < 0 else 0), text[s : s + w + length - 1])
-                        for s, w, o, part in own
-                    ]
-                columns = list(zip(*made))
-                yield _batch(
-                    [pa.array(c, pa.int64()) for c in columns[:-1]] + [pa.array(columns[-1], pa.binary())],
-                    [x.split()[0] for x in WINDOWS.split(", ")],
-                )
+                    held = text[first : first + windows + length - 1]
+                    keys = (x["n"], row["doc_key"], row["text_key"])
+                    if not x["crowded"]:
+                        made.append((x["g"], -1, 0, *keys, x["at"], held))
+                        continue
+                    crowded.append((x["g"], *keys, first, windows, offset, held))
+                    waiting += len(held)
+                    if waiting > PIECE:
+                        yield _named(crowded, length)
+                        crowded, waiting = [], 0
+                if made:
+                    columns = list(zip(*made))
+                    yield _batch(
+                        [pa.array(c, pa.int64()) for c in columns[:-1]]
+                        + [pa.array(columns[-1], pa.binary())],
+                        FIELDS,
+                    )
+        if crowded:
+            yield _named(crowded, length)
 
     return run
 
 
 def _compare_windows(length: int) -> Callable:
-    """Rows sorted by g and part: runs of windows equal to one of another row of the group."""
+    """Rows sorted by g, part and name: runs of windows equal to one of another row of the group."""
+
+    def named(rows: np.ndarray, shared: np.ndarray) -> pa.RecordBatch:
+        """Windows that share their name with a neighbour and are not known to repeat."""
+        _, _, _, _, doc_key, text_key, at = rows[:, shared & (rows[3] == 1)]
+        zero = np.zeros(len(at), np.int64)
+        return _batch([zero, zero, zero, zero + 2, doc_key, text_key, at])
 
     def judge(rows: pa.Table) -> pa.RecordBatch | None:
-        g, part, n, doc_key, text_key, at = (
-            rows.column(i).combine_chunks().to_numpy() for i in range(6)
+        g, _, _, n, doc_key, text_key, at = (
+            rows.column(i).combine_chunks().to_numpy() for i in range(7)
         )
-        held = rows.column(6).combine_chunks()
+        held = rows.column(7).combine_chunks()
         data, starts, sizes = _bytes_of(held.chunk(0) if isinstance(held, pa.ChunkedArray) else held)
         first, windows, offset = _unpack(at)
         buffer = np.concatenate(
@@ -248,7 +281,7 @@ def _compare_windows(length: int) -> Callable:
         row = np.repeat(np.arange(len(g)), windows)
         step = np.arange(len(row)) - np.repeat(np.cumsum(windows) - windows, windows)
         name = full[begin[row] + step]
-        place = np.where(part[row] < 0, offset[row] - step, part[row]).astype(U)
+        place = (offset[row] - step).astype(U)
         key = pair(pair(name, place), g[row].view(U))
         order = np.argsort(key, kind="stable")
         same = key[order][1:] == key[order][:-1]
@@ -269,17 +302,29 @@ def _compare_windows(length: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
+        last, shared = np.empty((7, 0), np.int64), False  # the last window with a name; if it repeats
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
+            of_run = pc.less(batch.column(1), 0)
+            names = batch.filter(pc.invert(of_run))
+            if names.num_rows:
+                own = np.stack([names.column(i).to_numpy() for i in range(7)])
+                own = np.concatenate([last, own], axis=1)
+                same = (own[:3, 1:] == own[:3, :-1]).all(axis=0)
+                repeated = np.r_[shared, same]
+                repeated[:-1] |= same
+                yield named(own[:, :-1], repeated[:-1])
+                last, shared = own[:, -1:].copy(), bool(repeated[-1])
+            rows = pa.Table.from_batches([batch.filter(of_run)])
             rows = rows if rest is None else pa.concat_tables([rest, rows])
-            keys = np.stack([rows.column(i).to_numpy() for i in range(2)])
-            last = np.flatnonzero((keys != keys[:, -1:]).any(axis=0)) if rows.num_rows else []
-            cut = int(last[-1]) + 1 if len(last) else 0
+            g = rows.column(0).to_numpy()
+            ends = np.flatnonzero(g != g[-1]) if len(g) else []
+            cut = int(ends[-1]) + 1 if len(ends) else 0
             rest = rows.slice(cut)
             if cut and (made := judge(rows.slice(0, cut))) is not None:
                 yield made
         if rest is not None and rest.num_rows and (made := judge(rest)) is not None:
             yield made
+        yield named(last, np.full(last.shape[1], shared))
 
     return run
 
@@ -322,8 +367,8 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, cro
         .mapInArrow(_fetch_bytes(length), WINDOWS)
     )
     windows = (
-        held.repartition("g", "part")
-        .sortWithinPartitions("g", "part")
+        held.repartition("g", "part", "name")
+        .sortWithinPartitions("g", "part", "name")
         .mapInArrow(_compare_windows(length), ROW)
     )
     hits = judged.filter(F.col("kind") == REPEATED).unionByName(windows)
