@@ -12,6 +12,7 @@ from tillmetrics.llm import (
     simhash_dedup,
     spotsigs,
     suffix_dedup,
+    turn_repair,
     warc_derive,
 )
 
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_language_id": language_id.op8_language_id,
     "op9_warc_derive": warc_derive.op9_warc_derive,
     "op10_bpe_tree": bpe_tree.op10_bpe_tree,
+    "op11_turn_repair": turn_repair.op11_turn_repair,
 }
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
