@@ -1,0 +1,148 @@
+from __future__ import annotations
+
+from fractions import Fraction
+
+import numpy as np
+import pytest
+
+from tillmetrics.llm import whitening as X
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def whole(vector):
+    return [int(np.floor(1024 * float(np.float32(c)))) + 100_000 for c in vector]
+
+
+def brute(rows, wanted=8):
+    """n, deviations, eigenvalues, vectors, trace, centred rows, by exact sums and numpy's solver."""
+    x = [whole(v) for v in rows]
+    n, width = len(x), len(x[0])
+    sums = [sum(r[k] for r in x) for k in range(width)]
+    away = [[n * r[k] - sums[k] for k in range(width)] for r in x]
+    deviation = [sum(a * a for a in r) for r in away]
+    matrix = np.empty((width, width))
+    for i in range(width):
+        for j in range(i, width):
+            exact = Fraction(sum(r[i] * r[j] for r in away), n**3)
+            matrix[i, j] = matrix[j, i] = float(exact)
+    values, vectors = np.linalg.eigh(matrix)
+    order = np.argsort(-values)[:wanted]
+    centred = np.array([[a / n for a in r] for r in away])
+    return n, deviation, values[order], vectors[:, order].T, np.trace(matrix), centred
+
+
+def by_row(frame):
+    made = {}
+    for r in frame.collect():
+        made.setdefault(r.vec_id, {})[r.component] = r
+    return made
+
+
+def cloud(count, width, seed=3):
+    dice = np.random.default_rng(seed)
+    axes = np.linalg.qr(dice.normal(size=(width, width)))[0]
+    return dice.normal(size=(count, width)) * 2.0 ** -np.arange(width) @ axes + dice.normal(size=width)
+
+
+def test_query_against_brute_force(spark, folder):
+    vectors = cloud(300, 12).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    odd = [
+        (900, None), (901, [None] * 12), (902, [float("nan")] + [0.0] * 11),
+        (903, [float("inf")] + [0.0] * 11), (904, [1.0, 2.0]), (905, []),
+    ]
+    frame = spark.createDataFrame(rows + odd, SCHEMA).repartition(5).selectExpr("*", "1 as n", "2 as label")
+    found = by_row(X.op12_whitening(spark, folder(embeddings=frame)))
+    n, deviation, values, axes, trace, centred = brute([v for _, v in rows])
+    assert sorted(found) == list(range(300))
+    signs = None
+    for i, parts in found.items():
+        assert sorted(parts) == list(range(1, 9))
+        assert {(r.n, r.deviation) for r in parts.values()} == {(n, deviation[i])}
+        got = np.array([parts[k].whitened for k in range(1, 9)])
+        want = axes @ centred[i] / np.sqrt(values)
+        if signs is None:
+            signs = np.sign(got * want)
+        assert got == pytest.approx(signs * want, abs=1e-9)
+        for k in range(8):
+            assert parts[k + 1].explained == pytest.approx(values[k] / trace, rel=1e-9)
+            assert 0 <= parts[k + 1].identity_error < 1e-9
+
+
+def test_rows_that_repeat_or_have_no_id(spark, folder):
+    vectors = cloud(40, 3)
+    rows = [(None if i % 7 == 0 else i // 2, v.tolist()) for i, v in enumerate(vectors)]
+    rows += rows[:5]
+    out = X.op12_whitening(spark, folder(embeddings=spark.createDataFrame(rows, SCHEMA)))
+    found = out.collect()
+    assert len(found) == 3 * len(rows) and {r.n for r in found} == {len(rows)}
+    n, deviation, *_ = brute([v for _, v in rows])
+    assert sorted(r.deviation for r in found if r.component == 1) == sorted(deviation)
+
+
+@pytest.mark.parametrize(
+    "rows", [[], [(1, [1.0, 2.0])], [(1, [0.5, 0.5]), (2, [0.5, 0.5])], [(1, []), (2, [])], [(1, None)]]
+)
+def test_nothing_to_whiten(spark, folder, rows):
+    out = X.op12_whitening(spark, folder(embeddings=spark.createDataFrame(rows, SCHEMA)))
+    assert out.collect() == []
+    assert out.dtypes == spark.createDataFrame([], X.RESULT).dtypes
+
+
+def test_enormous_entries(spark, folder):
+    rows = [(1, [3e38, 1.0]), (2, [-3e38, 2.0]), (3, [1.0, 5.0])]
+    found = by_row(X.op12_whitening(spark, folder(embeddings=spark.createDataFrame(rows, SCHEMA))))
+    assert {r.deviation for r in found[1].values()} == {None}
+    assert all(np.isfinite(r.whitened) for p in found.values() for r in p.values())
+
+
+def test_deviations_are_exact():
+    for size in (10**3, 10**9, 10**15):
+        x = np.array([[size + 1, -size], [3, 5], [size, size]], np.int64)
+        sums = tuple(int(s) for s in x.sum(axis=0))
+        want = [sum((3 * int(a) - s) ** 2 for a, s in zip(r, sums)) for r in x]
+        assert X.deviations(x, sums, 3) == [w if w < 1 << 63 else None for w in want]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 8, 40])
+def test_eigenpairs(size):
+    dice = np.random.default_rng(size)
+    for kind in range(4):
+        a = dice.normal(size=(size, size))
+        matrix = a @ a.T
+        if kind == 1:  # equal eigenvalues
+            q = np.linalg.qr(a)[0]
+            matrix = q @ np.diag(np.repeat([5.0, 2.0, 1.0], size)[: 3 * size : 3]) @ q.T
+            matrix = (matrix + matrix.T) / 2
+        if kind == 2:  # a matrix that falls apart
+            matrix = np.diag(np.arange(size, 0, -1.0))
+        if kind == 3:
+            matrix = np.eye(size) * 1e-200
+        values, vectors = X.leading(matrix, 8)
+        want = np.linalg.eigvalsh(matrix)[::-1][:8]
+        scale = np.abs(matrix).max()
+        assert values == pytest.approx(want, abs=1e-13 * scale * size)
+        assert vectors @ vectors.T == pytest.approx(np.eye(len(values)), abs=1e-12)
+        assert matrix @ vectors.T / scale == pytest.approx(vectors.T * values / scale, abs=1e-12)
+
+
+def test_sturm_counts():
+    dice = np.random.default_rng(1)
+    d, e = dice.normal(size=9), dice.normal(size=8)
+    values = np.linalg.eigvalsh(np.diag(d) + np.diag(e, 1) + np.diag(e, -1))
+    at = np.linspace(values[0] - 1, values[-1] + 1, 50)
+    assert X.below(d, e, at).tolist() == [(values < a).sum() for a in at]
+
+
+def test_given_table(spark):
+    import pyarrow.parquet as pq
+
+    folder = "/root/testdata/sf0.001"
+    rows = pq.read_table(f"{folder}/embeddings.parquet").to_pylist()
+    found = by_row(X.op12_whitening(spark, folder))
+    n, deviation, values, _, trace, _ = brute([r["embedding"] for r in rows])
+    assert {r["vec_id"]: d for r, d in zip(rows, deviation)} == {i: p[1].deviation for i, p in found.items()}
+    first = next(iter(found.values()))
+    assert [first[k].explained for k in range(1, 9)] == pytest.approx((values / trace).tolist(), rel=1e-9)
+    assert first[1].identity_error < 1e-9

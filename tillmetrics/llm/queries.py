@@ -14,6 +14,7 @@ from tillmetrics.llm import (
     suffix_dedup,
     turn_repair,
     warc_derive,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_warc_derive": warc_derive.op9_warc_derive,
     "op10_bpe_tree": bpe_tree.op10_bpe_tree,
     "op11_turn_repair": turn_repair.op11_turn_repair,
+    "op12_whitening": whitening.op12_whitening,
 }
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
