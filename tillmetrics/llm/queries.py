@@ -9,6 +9,7 @@ from tillmetrics.llm import (
     html_wrapper,
     language_id,
     license_scan,
+    path_dedup,
     simhash_dedup,
     spotsigs,
     suffix_dedup,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_bpe_tree": bpe_tree.op10_bpe_tree,
     "op11_turn_repair": turn_repair.op11_turn_repair,
     "op12_whitening": whitening.op12_whitening,
+    "op13_path_dedup": path_dedup.op13_path_dedup,
 }
 ORACLES = {
     "op1_license_scan": license_scan.SQL,
