@@ -129,6 +129,17 @@ def _batch(columns: list, names: list[str] = NAMES) -> pa.RecordBatch:
     )
 
 
+def _slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows with about PIECE bytes of the column, or one row."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy())
+    first = 0
+    while first < len(size):
+        before = size[first - 1] if first else 0
+        end = max(first + 1, int(np.searchsorted(size, before + PIECE, side="right")))
+        yield batch.slice(first, end - first)
+        first = end
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -229,9 +240,10 @@ def _fetch_bytes(length: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         crowded, waiting = [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                text, made = row["text"].encode("utf-8"), []
+        for part in (p for batch in batches for p in _slices(batch, "text")):
+            made = []
+            for row in part.to_pylist():
+                text = row["text"].encode("utf-8")
                 for x in row["runs"]:
                     first, windows, offset = _unpack(x["at"])
                     held = text[first : first + windows + length - 1]
@@ -244,13 +256,13 @@ def _fetch_bytes(length: int) -> Callable:
                     if waiting > PIECE:
                         yield _named(crowded, length)
                         crowded, waiting = [], 0
-                if made:
-                    columns = list(zip(*made))
-                    yield _batch(
-                        [pa.array(c, pa.int64()) for c in columns[:-1]]
-                        + [pa.array(columns[-1], pa.binary())],
-                        FIELDS,
-                    )
+            if made:
+                columns = list(zip(*made))
+                yield _batch(
+                    [pa.array(c, pa.int64()) for c in columns[:-1]]
+                    + [pa.array(columns[-1], pa.binary())],
+                    FIELDS,
+                )
         if crowded:
             yield _named(crowded, length)
 
@@ -300,6 +312,19 @@ def _compare_windows(length: int) -> Callable:
             + [_pack(first[own] + step[low], high - low + 1, zero)]
         )
 
+    def judged(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Whole groups, about PIECE bytes of them at a time."""
+        g = rows.column(0).to_numpy()
+        ends = np.r_[np.flatnonzero(g[1:] != g[:-1]) + 1, len(g)]
+        size = np.cumsum(pc.binary_length(rows.column(7)).to_numpy())[ends - 1]
+        first = done = 0
+        while first < len(g):
+            k = max(done, int(np.searchsorted(size, (size[done - 1] if done else 0) + PIECE, "right")) - 1)
+            made = judge(rows.slice(first, int(ends[k]) - first))
+            if made is not None:
+                yield made
+            first, done = int(ends[k]), k + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
         last, shared = np.empty((7, 0), np.int64), False  # the last window with a name; if it repeats
@@ -320,10 +345,10 @@ def _compare_windows(length: int) -> Callable:
             ends = np.flatnonzero(g != g[-1]) if len(g) else []
             cut = int(ends[-1]) + 1 if len(ends) else 0
             rest = rows.slice(cut)
-            if cut and (made := judge(rows.slice(0, cut))) is not None:
-                yield made
-        if rest is not None and rest.num_rows and (made := judge(rest)) is not None:
-            yield made
+            if cut:
+                yield from judged(rows.slice(0, cut))
+        if rest is not None and rest.num_rows:
+            yield from judged(rest)
         yield named(last, np.full(last.shape[1], shared))
 
     return run
@@ -409,7 +434,7 @@ def _remove(length: int, as_text: bool) -> Callable:
         return len(data), len(data) - len(rest), len(spans), said
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for batch in batches for p in _slices(batch, "text")):
             columns = (batch.column(c).to_pylist() for c in ("text", "starts"))
             made = list(zip(*[one(*row) for row in zip(*columns)])) or [()] * 4
             kinds = [pa.int64()] * 3 + [pa.string()]
