@@ -30,6 +30,7 @@ empty result; a single document is its own neighbour.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -55,12 +56,25 @@ ANCHORS = sorted({w for words_ in COMMON.values() for w in words_.split()})
 MARK = "\x01"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), with the value worked out once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def signatures(text: Column | str, chain: int = CHAIN) -> Column:
     """Sorted distinct signatures, as 32-bit hashes."""
-    marked = F.transform(
-        words(text), lambda w: F.when(w.isin(ANCHORS), F.concat(F.lit(MARK), w)).otherwise(w)
-    )
-    line = F.array_join(F.concat(F.array(F.lit(f"{MARK}^")), marked), " ")
+
+    def marked(w: Column) -> Column:
+        return F.when(w.isin(ANCHORS), F.concat(F.lit(MARK), w)).otherwise(w)
+
+    def of_words(found: Column) -> Column:
+        line = F.array_join(F.concat(F.array(F.lit(f"{MARK}^")), F.transform(found, marked)), " ")
+        return _bound(line, lambda x: _signatures_of_line(x, F.size(found) > 0, chain))
+
+    return _bound(words(text), of_words)
+
+
+def _signatures_of_line(line: Column, has_words: Column, chain: int) -> Column:
     skipped, content = rf"(?: {MARK}\S+)*+", rf" [^{MARK} ]\S*+"
     pattern = rf"{MARK}(?=(\S++{(skipped + content) * chain}))"
     found = F.regexp_extract_all(line, F.lit(pattern), F.lit(1))
@@ -75,10 +89,10 @@ def signatures(text: Column | str, chain: int = CHAIN) -> Column:
     made = F.transform(
         F.concat(found, filled), lambda s: F.hash(F.regexp_replace(s, rf" {MARK}\S+", ""))
     )
-    none = F.when(F.size(words(text)) > 0, F.array(F.hash(line))).otherwise(
-        F.array().cast("array<int>")
+    none = F.when(has_words, F.array(F.hash(line))).otherwise(F.array().cast("array<int>"))
+    return _bound(
+        made, lambda m: F.array_sort(F.when(F.size(m) > 0, F.array_distinct(m)).otherwise(none))
     )
-    return F.array_sort(F.when(F.size(made) > 0, F.array_distinct(made)).otherwise(none))
 
 
 def fingerprint(sigs: Column | str) -> Column:
