@@ -124,3 +124,83 @@ def test_odd_rows(spark, folder):
     texts = {(r.page_id, r.text[:9], r.n_chars) for r in found}
     assert texts == {(1, "", 0), (2, "", 0), (None, "a", 1), (3, "b", 1), (4, "long & lo", 349_999), (5, "deep", 4)}
     assert H.op3_html_wrapper(spark, folder(pages=extra.limit(0))).count() == 0
+
+
+def largest(a, b):
+    """Pairs of nodes of the best matching, by the definition; trees are (label, children)."""
+    if a[0] != b[0]:
+        return 0
+    x, y = a[1], b[1]
+    rows = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i in range(len(x)):
+        for j in range(len(y)):
+            rows[i + 1][j + 1] = max(rows[i][j + 1], rows[i + 1][j], rows[i][j] + largest(x[i], y[j]))
+    return 1 + rows[-1][-1]
+
+
+def random_tree(dice, depth):
+    count = dice.randrange(5) if depth else 0
+    return dice.choice("abc"), [random_tree(dice, depth - 1) for _ in range(count)]
+
+
+def shape_of(tree):
+    lines, waiting = [], [(tree, -1)]
+    while waiting:  # nodes in the order they open
+        (label, children), parent = waiting.pop()
+        lines.append(f"{parent} {label}")
+        waiting += [(c, len(lines) - 1) for c in reversed(children)]
+    return "\n".join(lines)
+
+
+def test_alignment_is_a_largest_one(dice):
+    for _ in range(300):
+        a, b = (("r", [random_tree(dice, 3) for _ in range(3)]) for _ in range(2))
+        if dice.random() < 0.5:  # trees that have much in common
+            b = ("r", [*a[1], *b[1][:1]][dice.randrange(2) :])
+        shapes = [shape_of(t) for t in (a, b)]
+        paired = H.align(*shapes)
+        assert len(paired) == largest(a, b)
+        parents = [[int(x.split()[0]) for x in s.split("\n")] for s in shapes]
+        labels = [[x.split()[1] for x in s.split("\n")] for s in shapes]
+        assert all(labels[0][x] == labels[1][y] for x, y in paired.items())
+        assert all(x == y == 0 or paired[parents[0][x]] == parents[1][y] for x, y in paired.items())
+        assert sorted(paired.values()) == [paired[x] for x in sorted(paired)]
+
+
+def test_long_and_deep_pages_align():
+    row = lambda n: "".join("<h2>a</h2><p>b</p>" for _ in range(n))
+    seed = H.Page(f"<body><ul><li>x</li></ul>{row(5000)}</body>").shape()
+    for source in (f"<body>{row(5000)}</body>", f"<body>{row(1000)}<ol><li>y</li></ol>{row(1500)}</body>"):
+        shape = H.Page(source).shape()
+        lists = shape.count(" ol") + shape.count(" li")
+        assert len(H.align(shape, seed)) == shape.count("\n") + 1 - lists
+    deep = "<div>" * 3000
+    paired = H.align(H.Page(f"{deep}<p>a").shape(), H.Page(f"{deep}<h1>b").shape())
+    assert len(paired) == 3001
+
+
+def test_workers_need_no_package(tmp_path):
+    """The functions that travel bring all they need: a bare interpreter can run them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    held = tmp_path / "functions"
+    held.write_bytes(cloudpickle.dumps([H._trees, H._aligned, H._extract(["page_id"])]))
+    code = (
+        "import pickle, sys, pyarrow as pa\n"
+        "trees, aligned, extract = pickle.load(open(sys.argv[1], 'rb'))\n"
+        "assert 'tillmetrics' not in sys.modules\n"
+        "page = '<body><nav>m</nav><p>text</p></body>'\n"
+        "made = list(trees(iter([pa.RecordBatch.from_pydict({'host': ['h'], 'html': [page]})])))\n"
+        "row = made[0].to_pylist()[0]\n"
+        "row = {k: row[k] for k in ('host', 'shape', 'nodes', 'hashes', 'articles')} | {'seed': row['shape']}\n"
+        "assert list(aligned(iter([pa.RecordBatch.from_pylist([row])])))\n"
+        "rows = [{'page_id': 1, 'html': page, 'seed': row['shape'], 'constant': []}]\n"
+        "print(list(extract(iter([pa.RecordBatch.from_pylist(rows)])))[0].to_pylist()[0]['text'])\n"
+    )
+    done = subprocess.run(
+        [sys.executable, "-c", code, str(held)], capture_output=True, text=True, cwd=tmp_path, env={}, timeout=60
+    )
+    assert done.stdout.strip() == "text", done.stderr

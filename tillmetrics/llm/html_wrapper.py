@@ -31,8 +31,8 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -91,7 +91,6 @@ ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?"
 PART = re.compile(r"[a-z]+")
 
 
-@lru_cache(4096)
 def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool, bool]:
     """Label; whether the element, or only its names, speak against it; header or not; article or not.
 
@@ -117,10 +116,28 @@ def _element(tag: str, attributes: str) -> tuple[str, bool, bool, bool, bool]:
     return label + "!" * (against or named) + "^" * lead, against, named, lead, article
 
 
+class Memory:
+    """Results of functions of strings, forgotten together when their arguments' characters are many."""
+
+    def __init__(self, most: int = 1 << 22):
+        self._most, self._size, self._held = most, 0, {}
+
+    def of(self, function: Callable, *texts: str):
+        key = (function.__name__, *texts)
+        if key not in self._held:
+            size = sum(map(len, texts))
+            if self._size + size > self._most:
+                self._held, self._size = {}, 0
+            self._size += size
+            self._held[key] = function(*texts)
+        return self._held[key]
+
+
 class Page:
     """Nodes in the order they open, by parent and label, and the page's pieces of text."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, memory: Memory | None = None):
+        self._memory = memory or Memory()
         self.parents, self.labels = [-1], ["#page"]
         self.never = [False]  # by what an element is, or lies in
         self._kinds = [(False, False, False)]  # against by its names alone, header, article
@@ -135,7 +152,7 @@ class Page:
         self.pieces = [p for p in self.pieces if not self.against[p[1]]]
 
     def _open(self, parent: int, tag: str, attributes: str) -> int:
-        label, against, *kinds = _element(tag, attributes)
+        label, against, *kinds = self._memory.of(_element, tag, attributes)
         last = self._last_child.get(parent)
         if last is not None and self.labels[last] == label:
             return last
@@ -264,37 +281,107 @@ def _tree(shape: str) -> tuple[list[str], list[list[int]]]:
     return labels, children
 
 
-@lru_cache(65536)
+class Trees:
+    """Two trees whose equal subtrees have equal kinds."""
+
+    def __init__(self, *shapes: str):
+        made = [_tree(shape) for shape in shapes]
+        self.labels, self.below = [m[0] for m in made], [m[1] for m in made]
+        known: dict[tuple, int] = {}
+        self.sizes: list[int] = []  # nodes of a subtree, by kind
+        self.kinds = [[0] * len(labels) for labels in self.labels]
+        for kinds, labels, below in zip(self.kinds, self.labels, self.below):
+            for node in range(len(labels) - 1, -1, -1):
+                key = (labels[node], *[kinds[x] for x in below[node]])
+                if key not in known:
+                    known[key] = len(known)
+                    self.sizes.append(1 + sum(self.sizes[kinds[x]] for x in below[node]))
+                kinds[node] = known[key]
+
+    def ends(self, a: int, b: int) -> tuple[int, int]:
+        """How many children of both nodes have equal kinds in front, and how many behind those."""
+        x, y = ([k[n] for n in below[node]] for k, below, node in zip(self.kinds, self.below, (a, b)))
+        least, front = min(len(x), len(y)), 0
+        while front < least and x[front] == y[front]:
+            front += 1
+        back = 0
+        while back < least - front and x[-1 - back] == y[-1 - back]:
+            back += 1
+        return front, back
+
+    def middles(self, a: int, b: int) -> tuple[int, list[int], list[int]]:
+        """Children equal in front, and those of both nodes that are left to be matched."""
+        front, back = self.ends(a, b)
+        left = [below[n][front : len(below[n]) - back] for below, n in zip(self.below, (a, b))]
+        return front, *left
+
+
 def align(shape: str, seed: str) -> dict[int, int]:
-    """Simple tree matching: nodes of the one tree paired with nodes of the other."""
+    """Simple tree matching: nodes of the one tree paired with nodes of the other.
+
+    Nodes are compared under paired parents only, once for each two kinds of subtrees. Equal subtrees
+    at either end of two lists of children belong to a largest matching, and go without a table.
+    """
     if shape == seed:
         return {i: i for i in range(shape.count("\n") + 1)}
-    (labels, below), (seed_labels, seed_below) = _tree(shape), _tree(seed)
-    known: dict[tuple[int, int], tuple[int, list[list[int]]]] = {}
-
-    def best(a: int, b: int) -> int:
-        """Most pairs of nodes under and with a and b; their labels are equal."""
-        if (a, b) not in known:
-            rows = [[0] * (len(seed_below[b]) + 1)]
-            for x in below[a]:
-                row = [0]
-                for j, y in enumerate(seed_below[b]):
-                    both = best(x, y) + rows[-1][j] if labels[x] == seed_labels[y] else 0
-                    row.append(max(row[j], rows[-1][j + 1], both))
-                rows.append(row)
-            known[a, b] = 1 + rows[-1][-1], rows
-        return known[a, b][0]
-
-    # Parents open before their children, so that going backwards keeps the recursion flat.
-    for a in range(len(labels) - 1, -1, -1):
-        for b in range(len(seed_labels) - 1, -1, -1):
-            if labels[a] == seed_labels[b]:
-                best(a, b)
+    trees = Trees(shape, seed)
+    (labels, seed_labels), (below, seed_below), (kinds, seed_kinds) = trees.labels, trees.below, trees.kinds
+    narrow = np.uint16 if min(len(labels), len(seed_labels)) < 1 << 16 else np.int32
+    most: dict[tuple[int, int], int] = {}  # pairs of nodes under and with two nodes, by their kinds
+    tables: dict[tuple[int, int], list[np.ndarray]] = {}
+
+    def pairs(x: int, y: int) -> int:
+        kind, seed_kind = kinds[x], seed_kinds[y]
+        return trees.sizes[kind] if kind == seed_kind else most[kind, seed_kind]
+
+    def compare(a: int, b: int) -> list[tuple[int, int]]:
+        """Pairs of children that have to be compared before; none: the nodes are."""
+        front, left, right = trees.middles(a, b)
+        own, seeds = ({k[n]: n for n in nodes} for k, nodes in ((kinds, left), (seed_kinds, right)))
+        alike = [(x, y) for x in own.values() for y in seeds.values() if labels[x] == seed_labels[y]]
+        first = [
+            (x, y) for x, y in alike
+            if kinds[x] != seed_kinds[y] and (kinds[x], seed_kinds[y]) not in most
+        ]
+        if first:
+            return first
+        place, seed_place = ({k: i for i, k in enumerate(nodes)} for nodes in (own, seeds))
+        worth = np.zeros((len(own), len(seeds)), narrow)
+        for x, y in alike:
+            worth[place[kinds[x]], seed_place[seed_kinds[y]]] = pairs(x, y)
+        across = np.array([seed_place[seed_kinds[y]] for y in right], int)
+        rows = [np.zeros(len(right) + 1, narrow)]
+        for x in left if right else ():
+            row = np.zeros_like(rows[-1])
+            both = rows[-1][:-1] + worth[place[kinds[x]]][across]
+            np.maximum.accumulate(np.maximum(rows[-1][1:], both), out=row[1:])
+            rows.append(row)
+        same = len(below[a]) - len(left) - front
+        ends = [*below[a][:front], *below[a][len(below[a]) - same :]]
+        key = kinds[a], seed_kinds[b]
+        most[key] = 1 + sum(trees.sizes[kinds[x]] for x in ends) + int(rows[-1][-1])
+        tables[key] = rows
+        return []
+
+    waiting = [(0, 0)]
+    while waiting:
+        a, b = waiting[-1]
+        if kinds[a] == seed_kinds[b] or (kinds[a], seed_kinds[b]) in most:
+            waiting.pop()
+        else:
+            waiting += compare(a, b)
     paired, waiting = {}, [(0, 0)]
     while waiting:
         a, b = waiting.pop()
         paired[a] = b
-        rows, i, j = known[a, b][1], len(below[a]), len(seed_below[b])
+        front, left, right = trees.middles(a, b)
+        waiting += zip(below[a][:front], seed_below[b])
+        back = len(below[a]) - front - len(left)
+        if back:
+            waiting += zip(below[a][-back:], seed_below[b][-back:])
+        if not left or not right:
+            continue
+        rows, i, j = tables[kinds[a], seed_kinds[b]], len(left), len(right)
         while i and j:
             if rows[i][j] == rows[i - 1][j]:
                 i -= 1
@@ -302,11 +389,10 @@ def align(shape: str, seed: str) -> dict[int, int]:
                 j -= 1
             else:
                 i, j = i - 1, j - 1
-                waiting.append((below[a][i], seed_below[b][j]))
+                waiting.append((left[i], right[j]))
     return paired
 
 
-@lru_cache(4096)
 def paths(shape: str) -> list[int]:
     """For each node, the hash of its labels from the root and their places among equal siblings."""
     labels, below = _tree(shape)
@@ -319,18 +405,19 @@ def paths(shape: str) -> list[int]:
     return made
 
 
-def found_at(shape: str, seed: str) -> list[tuple[int, int]]:
+def found_at(shape: str, seed: str, memory: Memory) -> list[tuple[int, int]]:
     """For each node, where it meets others: its partner in the seed, or else its path."""
-    paired, size = align(shape, seed), shape.count("\n") + 1
-    path = paths(shape) if len(paired) < size else []
+    paired, size = memory.of(align, shape, seed), shape.count("\n") + 1
+    path = memory.of(paths, shape) if len(paired) < size else []
     return [(SEED, paired[n]) if n in paired else (PATH, path[n]) for n in range(size)]
 
 
 def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory = Memory()
     for batch in batches:
         shapes, nodes, hashes, articles, pages = [], [], [], [], []
         for source in batch.column("html").to_pylist():
-            page = Page(source or "")
+            page = Page(source or "", memory)
             own = page.hashes()
             shapes.append(page.shape())
             nodes.append(list(own))
@@ -351,12 +438,13 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory = Memory()
     for batch in batches:
         made = []
         names = ("host", "shape", "seed", "nodes", "hashes", "articles")
         columns = (batch.column(c).to_pylist() for c in names)
         for host, shape, seed, nodes, hashes, articles in zip(*columns):
-            at = found_at(shape, seed)
+            at = found_at(shape, seed, memory)
             made += [(host, *at[n], h) for n, h in zip(nodes, hashes)]
             made += [(host, at[n][0] + ARTICLE, at[n][1], 0) for n in articles]
         host, kind, node, own = zip(*made) if made else ((), (), (), ())
@@ -415,14 +503,15 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 def _extract(kept: list[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory()
         for batch in batches:
             texts = []
             columns = (batch.column(c).to_pylist() for c in ("html", "seed", "constant"))
             for source, seed, constant in zip(*columns):
-                page, template = Page(source or ""), set()
+                page, template = Page(source or "", memory), set()
                 if constant:
                     agreed = {(c["kind"], c["node"]): c["n"] for c in constant}
-                    at = found_at(page.shape(), seed)
+                    at = found_at(page.shape(), seed, memory)
                     for node, article in enumerate(page.article):
                         n = agreed.get(at[node], 0)
                         if n and article >= 0:
