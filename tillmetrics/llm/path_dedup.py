@@ -404,10 +404,8 @@ def remove_repeats(docs: DataFrame, as_text: bool = True) -> DataFrame:
 
     n_runs counts the maximal removed runs of words, n_paths the paths that they are part of.
     """
-    said = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text")
-    )
-    named = said.filter(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * WINDOW - 1))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole("text").alias("text"))
+    named = texts.filter(F.col("doc_id").isNotNull() & (F.length("text") >= 2 * WINDOW - 1))
     found = _stage(spans(named), "paths")
     own = found.select(
         "doc",
@@ -422,7 +420,7 @@ def remove_repeats(docs: DataFrame, as_text: bool = True) -> DataFrame:
     by_doc = own.union(asked).groupBy("doc").agg(
         F.collect_list("own").alias("own"), F.collect_list("asked").alias("asked")
     )
-    keyed = said.withColumn("text_key", F.xxhash64("text"))
+    keyed = texts.withColumn("text_key", F.xxhash64("text"))
     cut = _stage(
         keyed.join(by_doc, F.col("doc_id") == F.col("doc"), "left")
         .select("doc_id", "text_key", "text", "own", "asked")
@@ -437,10 +435,14 @@ def remove_repeats(docs: DataFrame, as_text: bool = True) -> DataFrame:
     ]
     true = sides[1].select(F.col("span").alias("s"), F.col("digest").alias("d")).distinct()
     same = (F.col("span") == F.col("s")) & (F.col("digest") == F.col("d"))
-    wrong = sides[0].join(true, same, "left_anti").select("doc_id", "text_key").distinct()
+    # Spans that many documents have are one row each here.
+    said = sides[0].select("span", F.coalesce("digest", F.lit(0)).alias("digest")).distinct()
+    refuted = _stage(said.join(true, same, "left_anti"), "refuted")
     result = cut.drop("own", "asked")
-    if not wrong.isEmpty():
-        wrong = _stage(wrong, "refuted")
+    if not refuted.isEmpty():
+        refuted = refuted.select(F.col("span").alias("s"), F.col("digest").alias("d"))
+        told = (F.col("span") == F.col("s")) & (F.coalesce("digest", F.lit(0)) == F.col("d"))
+        wrong = sides[0].join(refuted, told, "left_semi").select("doc_id", "text_key").distinct()
         again = wrong.select(F.col("doc_id").alias("i"), F.col("text_key").alias("k"))
         these = (F.col("doc_id") == F.col("i")) & (F.col("text_key") == F.col("k"))
         right = sides[0].join(true, same, "left_semi").join(again, these, "left_semi").distinct()
