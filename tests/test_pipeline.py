@@ -3,9 +3,11 @@ from __future__ import annotations
 import datetime as dt
 import shutil
 from decimal import Decimal as D
+from threading import RLock
 
 import pytest
 from conftest import day
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillmetrics import RETAIL
@@ -14,7 +16,7 @@ from tillmetrics.operators import quality
 from tillmetrics.plans import pipeline, views
 from tillmetrics.sources import schemas as S
 from tillmetrics.sources.export import export_csv, read_csv, row_counts
-from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder, stamp
+from tillmetrics.sources.warehouse import BATCH, Warehouse, _offsets, shared_folder, stamp
 
 FIRST, SEEDED = day("2026-01-01"), day("2026-01-04")
 BATCH_FIELD = S.T.StructField(BATCH, S.T.DateType())
@@ -160,17 +162,95 @@ def test_a_run_that_died_is_done_again(warehouse, frame, monkeypatch, rows):
     assert rows(warehouse.read("dim_date"), "date_id") == [(20260101 + i,) for i in range(5)]
 
 
-def test_a_refresh_that_died_leaves_nothing_that_looks_loaded(warehouse, monkeypatch):
-    def die(*_):
-        raise RuntimeError("executor lost")
+def contents(w):
+    """What readers see: rows of the star and the reports."""
+    tables = {**w.star(), **w.reports()}
+    return {name: sorted(map(str, frame.collect())) for name, frame in tables.items()}
+
+
+def at_each_write(monkeypatch, step):
+    """Calls step(number) before each Parquet write, and before each rename of a pointer."""
+    write, commit, number, lock = DataFrameWriter.parquet, Warehouse.commit, iter(range(1000)), RLock()
+
+    def stepped(then):
+        def run(*args, **options):
+            with lock:
+                step(next(number))
+            return then(*args, **options)
+
+        return run
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", stepped(write))
+    monkeypatch.setattr(Warehouse, "commit", stepped(commit))
+
+
+def test_readers_see_the_old_star_until_a_refresh_is_done(warehouse, frame, monkeypatch, rows):
+    old = contents(warehouse)
+    land_sales(warehouse, frame, [sale("2026-01-02", 20), sale("2026-01-05", 50)], "more")
+    steps = []
+
+    def same(number):
+        steps.append(number)
+        assert contents(warehouse) == old
+
+    with monkeypatch.context() as watched:
+        at_each_write(watched, same)
+        pipeline.full_refresh(warehouse, FIRST, day("2026-01-05"), RETAIL)
+    assert len(steps) == 11  # three sources staged, facts, reports, the calendar and the pointer
+    assert contents(warehouse) != old
+    assert counts(warehouse)["fact_orders"] == 6 and counts(warehouse)["dim_date"] == 5
+
+
+@pytest.mark.parametrize("dies_at", [0, 4, 9, 10])
+def test_a_refresh_that_died_changes_nothing(warehouse, frame, monkeypatch, dies_at):
+    old = contents(warehouse)
+    land_sales(warehouse, frame, [sale("2026-01-02", 20)], "more")
+
+    def die(number):
+        if number == dies_at:
+            raise RuntimeError("executor lost")
 
     with monkeypatch.context() as broken:
-        broken.setattr(pipeline, "_check", die)
+        at_each_write(broken, die)
         with pytest.raises(RuntimeError, match="executor lost"):
             pipeline.full_refresh(warehouse, FIRST, SEEDED, RETAIL)
-    assert warehouse.read("dim_date").count() == 0
+    assert contents(warehouse) == old
+    # what it left is in nobody's way, and the days appended to the old star stay in it
+    land_sales(warehouse, frame, [sale("2026-01-05", 5)])
+    assert pipeline.append_missing(warehouse, day("2026-01-06"), RETAIL) == [day("2026-01-05")]
+    assert counts(warehouse)["fact_orders"] == 5
+    pipeline.full_refresh(warehouse, FIRST, day("2026-01-05"), RETAIL)
+    assert counts(warehouse)["fact_orders"] == 6
+    assert len(warehouse._names("_generations")) <= 3
+
+
+def test_a_reader_keeps_its_generation(warehouse, frame):
+    before, old = warehouse.star(), contents(warehouse)
+    land_sales(warehouse, frame, [sale("2026-01-02", 20)], "more")
     pipeline.full_refresh(warehouse, FIRST, SEEDED, RETAIL)
-    assert counts(warehouse)["fact_orders"] == counts(warehouse)["dim_date"] == 4
+    assert sorted(map(str, before["fact_orders"].collect())) == old["fact_orders"]
+    assert counts(warehouse)["fact_orders"] == 5
+    first = warehouse.path("fact_orders")
+    for _ in range(2):
+        pipeline.full_refresh(warehouse, FIRST, SEEDED, RETAIL)
+    assert warehouse.path("fact_orders") != first
+    # dimensions, the facts of now and before, and those that go with the next draft
+    assert len(warehouse._names("_generations")) == 4 and len(warehouse._pointers()) == 2
+
+
+def test_dimensions_change_together(warehouse, monkeypatch, frame):
+    old = contents(warehouse)
+    star = warehouse.star()
+    more = star["dim_customers"].withColumn("region", F.lit("Italy"))
+
+    def same(_):
+        assert contents(warehouse) == old
+
+    with monkeypatch.context() as watched:
+        at_each_write(watched, same)
+        pipeline.load_dimensions(warehouse, more, star["dim_products"])
+    found = warehouse.star()["dim_customers"].select("region").distinct().collect()
+    assert [r["region"] for r in found] == ["Italy"]
 
 
 def refund(line, **changes):
@@ -277,6 +357,38 @@ def test_ids_follow_the_input_order(spark):
     assert found[1] - found[0] == 299_999 and found[0] == ids[0] + 7
 
 
+def test_offsets_are_a_running_sum_over_files(spark):
+    counts = [(task, f"part-{task:05}-{name}.parquet", (task * 7 + len(name)) % 11)
+              for task in range(0, 4500, 3) for name in ("a", "bb")]
+    given = spark.createDataFrame([(f, n) for _, f, n in counts], "file string, count long")
+    found = {r["file"]: r["before"] for r in _offsets(given.repartition(7)).collect()}
+    total, want = 0, {}
+    for _, file, n in sorted(counts):
+        want[file] = total
+        total += n
+    assert found == want
+
+
+def test_numbering_collects_and_broadcasts_nothing_by_force(spark):
+    given = spark.range(0, 1000, 1, 8).withColumn(BATCH, F.lit(FIRST))
+    stamped = stamp(given, F.col(BATCH))
+    assert "broadcast" not in stamped._jdf.queryExecution().analyzed().toString().lower()
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # offsets too large to broadcast
+        ids = [r["raw_id"] for r in stamp(given, F.col(BATCH)).orderBy("id").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ids == [r["raw_id"] for r in stamped.orderBy("id").collect()]
+
+
+def test_a_day_without_room_is_an_error(spark):
+    given = spark.range(2).withColumn(BATCH, F.lit(FIRST))
+    assert stamp(given, F.col(BATCH), taken=(1 << 47) - 2).count() == 2
+    with pytest.raises(Exception, match="a day has room for"):
+        stamp(given, F.col(BATCH), taken=(1 << 47) - 1).collect()
+
+
 def test_ids_of_rows_that_a_shuffle_deals(spark, tmp_path):
     """A job that reads fewer columns of a shuffle has fewer, larger tasks."""
     deals = {

@@ -4,6 +4,7 @@ from decimal import Decimal as D
 
 import pytest
 from conftest import day
+from pyspark.sql import functions as F
 
 from tillmetrics.operators import calendar as cal
 from tillmetrics.operators import quality
@@ -222,6 +223,12 @@ def test_invariants(star):
 def test_violations_are_counted(star, rows):
     broken = dict(rows(quality.reference_violations(star).filter("violations > 0"), "key", "violations"))
     assert broken == {"date_id": 1, "order_line_id": 1}
+    plan = quality.reference_violations(star)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    nowhere = star["fact_orders"].withColumn("product_id", F.lit(None).cast("long"))
+    found = quality.reference_violations({**star, "fact_orders": nowhere})
+    lost = found.filter("relation = 'fact_orders' and key = 'product_id'").first()["violations"]
+    assert lost == star["fact_orders"].count() and found.count() == 6
     twice = {**star, "dim_products": star["dim_products"].unionAll(star["dim_products"])}
     found = quality.key_violations(twice).filter("violations > 0")
     assert rows(found) == [("dim_products", "product_id", 2)]

@@ -76,13 +76,13 @@ def main(argv: list[str] | None = None) -> None:
         for day in pipeline.append_missing(warehouse, today, RETAIL, args.since):
             print(day)
     elif args.command == "sql":
-        views.publish_views({**warehouse.star(), **warehouse.raw()})
+        views.publish_views({**warehouse.star(), **warehouse.raw(), **warehouse.reports()})
         found = spark.sql(args.statement)
         print("\t".join(found.columns))
         for row in found.toLocalIterator():
             print("\t".join("" if value is None else str(value) for value in row))
     elif args.command == "export":
-        tables = {**warehouse.star(), **warehouse.raw()}
+        tables = {**warehouse.star(), **warehouse.raw(), **warehouse.reports()}
         for path in export_csv({**tables, **views.views(tables)}, args.folder).values():
             print(path)
 

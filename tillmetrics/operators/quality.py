@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmetrics.settings import UNKNOWN
@@ -82,17 +82,53 @@ def orphans(child: DataFrame, parent: DataFrame, column: str) -> DataFrame:
 
 
 def reference_violations(tables: Star) -> DataFrame:
-    """Fact rows whose dimension (or order line) does not exist, per foreign key."""
-    return _stack(
-        [
-            orphans(tables[child], tables[parent], column).agg(
-                F.lit(child).alias("relation"),
-                F.lit(column).alias("key"),
-                F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"),
-            )
-            for child, column, parent in FOREIGN_KEYS
+    """Fact rows whose dimension (or order line) does not exist, per foreign key.
+
+    Keys of all references meet in one union, tagged with the table they refer to and the
+    reference they come from: one shuffle, however many references a fact has. Rows are counted
+    per key before it, so a key used by a large part of a fact is one row for each task.
+    """
+    parents = {name: place for place, name in enumerate(dict.fromkeys(p for *_, p in FOREIGN_KEYS))}
+    column_of = {parent: column for _, column, parent in FOREIGN_KEYS}
+
+    def tagged(place: int, reference: int, column: str) -> Column:
+        return F.struct(
+            F.lit(place).alias("parent"),
+            F.lit(reference).alias("reference"),
+            F.col(column).cast("long").alias("key"),
+        )
+
+    own = -1  # the parent's own keys
+    keys = [
+        tables[name].select(tagged(place, own, column_of[name]).alias("x")).select("x.*")
+        for name, place in parents.items()
+    ]
+    for child in dict.fromkeys(c for c, *_ in FOREIGN_KEYS):
+        uses = [
+            tagged(parents[parent], i, column)
+            for i, (name, column, parent) in enumerate(FOREIGN_KEYS)
+            if name == child
         ]
+        keys.append(tables[child].select(F.explode(F.array(*uses)).alias("x")).select("x.*"))
+    used = [F.count_if(F.col("reference") == i).alias(f"used_{i}") for i in range(len(FOREIGN_KEYS))]
+    met = (
+        _stack(keys)
+        .groupBy("parent", "key")
+        .agg(F.count_if(F.col("reference") == own).alias("known"), *used)
     )
+    lost = (F.col("known") == 0) | F.col("key").isNull()
+    totals = met.agg(
+        *[F.sum(F.when(lost, F.col(f"used_{i}"))).alias(f"lost_{i}") for i in range(len(FOREIGN_KEYS))]
+    )
+    rows = [
+        F.struct(
+            F.lit(child).alias("relation"),
+            F.lit(column).alias("key"),
+            F.coalesce(f"lost_{i}", F.lit(0).cast("long")).alias("violations"),
+        )
+        for i, (child, column, _) in enumerate(FOREIGN_KEYS)
+    ]
+    return totals.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
 def null_violations(tables: Star) -> DataFrame:
