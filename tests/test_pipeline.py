@@ -500,3 +500,31 @@ def test_export_covers_tables_and_views(warehouse, spark, tmp_path):
 def test_calendar_of_the_star_has_the_declared_types(warehouse):
     loaded = warehouse.read("dim_date")
     assert loaded.dtypes == cal.calendar(loaded.select("date")).dtypes
+
+
+def test_rules_are_counted_while_rows_are_staged(warehouse, frame, spark):
+    """Planted faults: good rows whose facts break a rule, beside rejected ones, which may."""
+    fields = "raw_id long, order_id long, customer_id long, product_id long, order_day date"
+    fields += ", quantity int, unit_price decimal(10,2), discount decimal(4,3), reject_reason string"
+    first, late = FIRST, day("2030-01-01")
+    labelled = spark.createDataFrame(
+        [
+            (1, 1, 2, 9, first, 1, D("1.00"), None, None),
+            (2, 1, None, 9, first, 1, D("1.00"), None, None),
+            (3, 1, 2, 9, late, 1, D("1.00"), None, None),
+            (4, 1, 2, 9, first, 0, D("1.00"), None, None),
+            (5, 1, 2, 9, first, 1, D("-1.00"), D("0.5"), None),
+            (6, None, None, None, None, -1, None, None, "unparseable_date"),
+        ],
+        fields,
+    )
+    dates = warehouse.star()["dim_date"]
+    rules = pipeline._rules(pipeline.SALES)
+    watched, seen = pipeline._watched(labelled, pipeline.SALES, rules, dates)
+    staged = warehouse.stage("watched", watched)
+    assert staged.exceptAll(labelled).count() == 0 and staged.count() == 6
+    counts = {rule: seen.get[f"rule_{i}"] for i, rule in enumerate(rules)}
+    assert list(counts.values()) == [1, 1, 2]
+    with pytest.raises(pipeline.DataQualityError, match="1 outside the calendar, 2 with an invalid"):
+        pipeline._check(warehouse, pipeline.SALES, staged, counts)
+    assert quality.bad_orders(pipeline.SALES.facts(staged, [])).first()[0] == 2

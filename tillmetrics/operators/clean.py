@@ -100,14 +100,13 @@ def label_sales(
     )
 
 
-def sales_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
-    """Order lines ready for the star. The id of a line is that of its first raw row."""
-    return labelled.filter(F.col("reject_reason").isNull()).select(
+def sales_columns() -> list[Column]:
+    """The columns of an order line, from a labelled row. Its id is that of the first raw row."""
+    return [
         F.col("raw_id").alias("order_line_id"),
-        *batch,
-        "order_id",
-        "customer_id",
-        "product_id",
+        F.col("order_id"),
+        F.col("customer_id"),
+        F.col("product_id"),
         date_key(F.col("order_day")).alias("date_id"),
         F.col("quantity").cast("smallint").alias("quantity"),
         F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
@@ -115,7 +114,13 @@ def sales_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
         line_revenue(F.col("quantity"), F.col("unit_price"), F.col("discount")).alias(
             "line_revenue"
         ),
-    )
+    ]
+
+
+def sales_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
+    """Order lines ready for the star."""
+    first, *rest = sales_columns()
+    return labelled.filter(F.col("reject_reason").isNull()).select(first, *batch, *rest)
 
 
 def label_marketing(
@@ -139,6 +144,16 @@ def label_marketing(
     ).withColumn("reject_reason", reason)
 
 
+def marketing_columns() -> list[Column]:
+    """What a labelled row adds to the spend of its day and channel."""
+    return [
+        F.col("raw_id").alias("spend_id"),
+        date_key(F.col("spend_day")).alias("date_id"),
+        F.col("channel"),
+        F.col("spend"),
+    ]
+
+
 def marketing_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     """One row per day and channel; several partial exports of a day add up."""
     good = labelled.filter(F.col("reject_reason").isNull())
@@ -174,15 +189,20 @@ def label_returns(raw: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
     ).withColumn("reject_reason", reason)
 
 
-def returns_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
-    return labelled.filter(F.col("reject_reason").isNull()).select(
+def returns_columns() -> list[Column]:
+    """The columns of a return, from a labelled row."""
+    return [
         F.col("raw_id").alias("return_id"),
-        *batch,
-        "order_line_id",
+        F.col("order_line_id"),
         date_key(F.col("return_day")).alias("date_id"),
         filled_reason(F.col("reason")).alias("reason"),
         fixed_refund(F.col("refund_amount")).cast("decimal(10,2)").alias("refund_amount"),
-    )
+    ]
+
+
+def returns_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
+    first, *rest = returns_columns()
+    return labelled.filter(F.col("reject_reason").isNull()).select(first, *batch, *rest)
 
 
 # --- whole-table rejects, one rule at a time -------------------------------------

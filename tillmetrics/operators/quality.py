@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,15 +18,29 @@ def _stack(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def impossible_order(of: Callable[[str], Column] = F.col) -> Column:
+    """A quantity, price or revenue that no order line has; `of` gives the column of a name."""
+    return (of("quantity") <= 0) | (of("unit_price") <= 0) | (of("line_revenue") < 0)
+
+
+def negative_refund(of: Callable[[str], Column] = F.col) -> Column:
+    return of("refund_amount") < 0
+
+
+def incomplete(name: str, of: Callable[[str], Column] = F.col) -> Column:
+    """A NULL in any required column of a table."""
+    required = [f.name for f in TABLES[name].fields if not f.nullable]
+    return reduce(lambda a, b: a | b, [of(c).isNull() for c in required])
+
+
 def bad_orders(orders: DataFrame) -> DataFrame:
     """Number of order lines with an impossible quantity, price or revenue."""
-    wrong = (F.col("quantity") <= 0) | (F.col("unit_price") <= 0) | (F.col("line_revenue") < 0)
-    return orders.agg(F.count_if(wrong).alias("bad_rows"))
+    return orders.agg(F.count_if(impossible_order()).alias("bad_rows"))
 
 
 def bad_returns(returns: DataFrame) -> DataFrame:
     """Number of returns with a negative refund."""
-    return returns.agg(F.count_if(F.col("refund_amount") < 0).alias("bad_rows"))
+    return returns.agg(F.count_if(negative_refund()).alias("bad_rows"))
 
 
 def bad_facts(orders: DataFrame, returns: DataFrame) -> DataFrame:
@@ -143,13 +157,6 @@ def null_violations(tables: Star) -> DataFrame:
     return _stack(per_table).select("relation", "column", "nulls")
 
 
-def incomplete_rows(facts: DataFrame, name: str) -> DataFrame:
-    """Number of rows of a fact table with a NULL in any required column."""
-    required = [f.name for f in TABLES[name].fields if not f.nullable]
-    gap = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])
-    return facts.agg(F.count_if(gap).alias("rows"))
-
-
 def id_summary(tables: Star) -> DataFrame:
     """Rows, distinct ids and id range of each fact table."""
     summaries = []
