@@ -15,7 +15,7 @@ from tillmetrics.operators import calendar as cal
 from tillmetrics.operators import quality
 from tillmetrics.plans import pipeline, views
 from tillmetrics.sources import schemas as S
-from tillmetrics.sources.export import export_csv, read_csv, row_counts
+from tillmetrics.sources.export import checksums, export_csv, read_csv, row_counts, unchanged
 from tillmetrics.sources.warehouse import BATCH, Warehouse, _offsets, shared_folder, stamp
 
 FIRST, SEEDED = day("2026-01-01"), day("2026-01-04")
@@ -528,3 +528,34 @@ def test_rules_are_counted_while_rows_are_staged(warehouse, frame, spark):
     with pytest.raises(pipeline.DataQualityError, match="1 outside the calendar, 2 with an invalid"):
         pipeline._check(warehouse, pipeline.SALES, staged, counts)
     assert quality.bad_orders(pipeline.SALES.facts(staged, [])).first()[0] == 2
+
+
+def test_checksums_are_of_contents(frame, spark, tmp_path, rows):
+    given = [
+        {"raw_id": i, "category": c, "reason": r, "return_date": "2026-01-01", "refund_amount": a}
+        for i, c, r, a in [(1, "x", "y", 10), (2, None, "", 2.5), (3, "a\x1f=b", "c", None), (3, "\\", "~", 0)]
+    ]
+    table = frame(S.RAW_RETURNS, given)
+    (known,) = checksums({"t": table}).collect()
+    assert known["rows"] == 4
+    again = [table.repartition(3).orderBy(F.desc("raw_id")), table.withColumn("loaded_at", F.current_timestamp().cast("timestamp_ntz"))]
+    for same in again:
+        assert tuple(checksums({"t": same}).first()) == tuple(known)
+    swapped = table.select(
+        *[F.col({"category": "reason", "reason": "category"}.get(c, c)).alias(c) for c in table.columns]
+    )
+    others = [
+        swapped,
+        table.unionAll(table.filter("raw_id = 1")),
+        table.withColumn("refund_amount", F.when(F.col("raw_id") != 1, F.col("refund_amount"))),
+        table.withColumn("reason", F.nullif("reason", F.lit(""))),
+        table.withColumn("refund_amount", (F.col("refund_amount") + F.lit(D("0.01"))).cast("decimal(10,2)")),
+    ]
+    for other in others:
+        found = checksums({"t": other})
+        assert found.first()["hash_a"] != known["hash_a"] and found.first()["hash_b"] != known["hash_b"]
+        assert rows(unchanged(checksums({"t": table}), found)) == [("t", False)]
+    assert tuple(checksums({"t": table.limit(0)}).first()) == ("t", 0, None, None)
+    written = export_csv({"t": table}, str(tmp_path))
+    kept = read_csv(spark, written["t"], table)
+    assert rows(unchanged(checksums({"t": table}), checksums({"t": kept}))) == [("t", True)]

@@ -18,7 +18,7 @@ from tillmetrics.operators import calendar as cal
 from tillmetrics.operators import clean, lookup, quality
 from tillmetrics.plans import findings, pipeline, views
 from tillmetrics.session import prepare
-from tillmetrics.sources.export import export_csv, read_csv, row_counts
+from tillmetrics.sources.export import checksums, export_csv, read_csv, row_counts, unchanged
 from tillmetrics.sources.market import GUEST_ID, Market
 from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder, stamp
 
@@ -107,9 +107,15 @@ def export_csv_roundtrip(m: Market) -> DataFrame:
     tables = {name: w.stage(name, frame) for name, frame in _tables(m).items()}
     relations = {**tables, **views.views(tables)}
     written = export_csv(relations, shared_folder(m.spark, "csv"))
-    return row_counts(
+    found = checksums(
         {name: read_csv(m.spark, path, relations[name]) for name, path in written.items()}
     )
+    return found.select("relation", "rows").join(unchanged(checksums(relations), found), "relation")
+
+
+@query
+def relation_checksums(m: Market) -> DataFrame:
+    return checksums(m.star())
 
 
 # --- cleaning -------------------------------------------------------------------------
@@ -472,7 +478,7 @@ def full_refresh_counts(m: Market) -> DataFrame:
     first, last = m.order_span.first()
     w = Warehouse(m.spark, shared_folder(m.spark, "refresh"))
     _seed(m, w, first, last)
-    return row_counts({**w.star(), **w.raw()})
+    return checksums(w.star()).unionByName(row_counts(w.raw()), allowMissingColumns=True)
 
 
 @query
@@ -531,15 +537,21 @@ def _append_history(m: Market) -> tuple[Warehouse, list]:
 
 
 def _frozen(w: Warehouse) -> list:
-    """Row counts as they are now: one number per table."""
-    return [tuple(r) for r in row_counts(w.star()).collect()]
+    """Row counts and checksums as they are now: one line per table."""
+    return [tuple(r) for r in checksums(w.star()).collect()]
 
 
 def _counts_between(before: list, now: dict[str, DataFrame]) -> DataFrame:
+    """Rows then and now, whether the contents are the same, and their checksums now."""
     spark = next(iter(now.values())).sparkSession
-    earlier = spark.createDataFrame(before, "relation string, rows_before bigint")
-    after = row_counts(now).withColumnRenamed("rows", "rows_after")
-    return earlier.join(after, "relation")
+    earlier = spark.createDataFrame(before, "relation string, rows bigint, hash_a string, hash_b string")
+    after = checksums(now)
+    rows = earlier.select("relation", F.col("rows").alias("rows_before"))
+    return (
+        after.withColumnRenamed("rows", "rows_after")
+        .join(rows, "relation")
+        .join(unchanged(earlier, after), "relation")
+    )
 
 
 # --- quality ----------------------------------------------------------------------------
@@ -550,6 +562,45 @@ def dq_bad_facts(m: Market) -> DataFrame:
     return quality.bad_facts(m.orders, m.returns)
 
 
+def _faulty(frame: DataFrame, key: str, faults: dict[str, tuple[int, object]]) -> DataFrame:
+    """The rows, with a value put into each column wherever a number divides the key."""
+    for column, (divisor, value) in faults.items():
+        put = F.lit(value).cast(frame.schema[column].dataType)
+        frame = frame.withColumn(column, F.when(F.col(key) % divisor == 0, put).otherwise(F.col(column)))
+    return frame
+
+
+def _faulty_facts(m: Market) -> dict[str, DataFrame]:
+    return {
+        "fact_orders": _faulty(
+            m.orders,
+            "order_line_id",
+            {
+                "quantity": (97, 0),
+                "unit_price": (89, -1),
+                "line_revenue": (83, -1),
+                "customer_id": (79, None),
+                "discount": (73, None),
+            },
+        ),
+        "fact_returns": _faulty(
+            m.returns, "return_id", {"refund_amount": (71, -1), "reason": (67, None), "date_id": (61, None)}
+        ),
+    }
+
+
+@query
+def dq_bad_facts_planted(m: Market) -> DataFrame:
+    """The same check over facts with planted faults."""
+    facts = _faulty_facts(m)
+    return quality.bad_facts(facts["fact_orders"], facts["fact_returns"])
+
+
+@query
+def null_violations_planted(m: Market) -> DataFrame:
+    return quality.null_violations(_faulty_facts(m))
+
+
 @query
 def dq_missing_calendar(m: Market) -> DataFrame:
     return quality.days_without_calendar(m.headers.select(F.col("order_day").alias("date")), m.dates)

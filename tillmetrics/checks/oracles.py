@@ -257,13 +257,19 @@ CTES = {
         left join ret r on r.order_line_id = f.order_line_id group by category""",
     # --- daily append: history is one batch, then one batch per day
     "i_sales": _labelled_sales(_BATCH),
-    "i_orders": "select raw_id as order_line_id, batch from i_sales where reject_reason is null",
+    "i_orders": f"""select raw_id as order_line_id, batch, order_id, customer_id,
+        found_product as product_id, {_key('order_day')} as date_id, quantity, cents,
+        coalesce(disc, 0) as disc, {_REVENUE} as rev from i_sales where reject_reason is null""",
     "i_marketing": _labelled_marketing(_BATCH),
-    "i_spend": """select batch, day, channel from i_marketing where reject_reason is null
-        group by all""",
+    "i_spend": f"""select batch, channel, min(raw_id) as spend_id, {_key('day')} as date_id,
+        sum(cents) as cents from i_marketing where reject_reason is null
+        group by batch, day, channel""",
     "booked": f"""select * from raw_returns where exported_on <= {_LAST_DAY}
         and order_line_id in (select order_line_id from i_orders)""",
     "i_returns": _labelled_returns("booked", _BATCH),
+    "i_back": f"""select batch, raw_id as return_id, order_line_id, {_key('day')} as date_id,
+        coalesce(nullif(reason, ''), 'Unknown') as reason, abs(cents) as cents
+        from i_returns where reject_reason is null""",
 }
 
 _CSV_RELATIONS = {
@@ -307,6 +313,58 @@ def _counts(relations: dict[str, str]) -> str:
     )
 
 
+def _checksums(relation: str, source: str, columns: str) -> str:
+    """Columns as text, numbers as their digits; see row_text for what stands between them."""
+    cells = ", ".join(f"coalesce('=' || cast({c} as varchar), '~')" for c in columns.split(", "))
+    part = "cast(sum(cast('0x' || substr(d, {0}, 15) as bigint)) as varchar)"
+    return f"""select '{relation}' as relation, count(*) as rows,
+        {part.format(1)} as hash_a, {part.format(17)} as hash_b
+        from (select md5(concat_ws(chr(31), {cells})) as d from {source})"""
+
+
+_DIMENSION_CONTENTS = {
+    "dim_customers": (
+        "cust",
+        "customer_id, full_name, email, region, acquisition_channel, signup_date, activity_score * 1000",
+    ),
+    "dim_products": ("prod", "product_id, product_name, category, (cents * 55 + 50) // 100, cents"),
+}
+_DATE_COLUMNS = "date_id, date, year, month, day, day_of_week, day_name, week_of_year, is_weekend"
+_ORDER_COLUMNS = "order_line_id, order_id, customer_id, product_id, date_id, quantity, cents, disc, rev"
+_SPEND_COLUMNS = "spend_id, date_id, channel, cents"
+_RETURN_COLUMNS = "return_id, order_line_id, date_id, reason, cents"
+
+
+def _contents(dates: str, orders: str, spend: str, returns: str) -> str:
+    """Checksums of the star, of these sources."""
+    found = {
+        **_DIMENSION_CONTENTS,
+        "dim_date": (dates, _DATE_COLUMNS),
+        "fact_orders": (orders, _ORDER_COLUMNS),
+        "fact_marketing_spend": (spend, _SPEND_COLUMNS),
+        "fact_returns": (returns, _RETURN_COLUMNS),
+    }
+    return " union all ".join(_checksums(name, *parts) for name, parts in found.items())
+
+
+def _planted(source: str, key: str, faults: dict[str, tuple[int, str]]) -> str:
+    puts = ", ".join(
+        f"case when {key} % {divisor} = 0 then {value} else {column} end as {column}"
+        for column, (divisor, value) in faults.items()
+    )
+    return f"(select * replace ({puts}) from {source})"
+
+
+_FAULTY_ORDERS = _planted(
+    "fo",
+    "order_line_id",
+    {"quantity": (97, "0"), "cents": (89, "-100"), "rev": (83, "-100"), "customer_id": (79, "null"), "disc": (73, "null")},
+)
+_FAULTY_RETURNS = _planted(
+    "ret", "return_id", {"cents": (71, "-100"), "reason": (67, "null"), "date_id": (61, "null")}
+)
+
+
 def _dropped(labelled: str, *reasons: str) -> str:
     return ", ".join(
         f"cast(count(*) filter (reject_reason = '{r}') as bigint) as {r}_dropped" for r in reasons
@@ -359,7 +417,12 @@ _AFTER = f"""from (
     union all select 'fact_marketing_spend', count(*) filter (batch <= {_SEED_DAY}), count(*)
         from i_spend
     union all select 'fact_returns', count(*) filter (batch <= {_SEED_DAY}), count(*)
-        from i_returns where reject_reason is null)"""
+        from i_back)"""
+_LOADED = f"cal where date <= {_LAST_DAY}"
+_BOOKED = f"""clean_ret join (select raw_id from raw_returns
+    where exported_on <= {_LAST_DAY}) on raw_id = return_id
+    where order_line_id in (select order_line_id from clean_fo)"""
+_APPENDED = _contents(_LOADED, "i_orders", "i_spend", "i_back")
 _AOV = "cast((2 * cast({0} as hugeint) + {1}) // (2 * {1}) as double) / 100"
 
 _BODIES = {
@@ -385,7 +448,8 @@ _BODIES = {
         from prod""",
     "dim_date": "select * from cal",
     "relation_row_counts": _counts(_CSV_RELATIONS),
-    "export_csv_roundtrip": _counts(_CSV_RELATIONS),
+    "export_csv_roundtrip": f"select *, true as same from ({_counts(_CSV_RELATIONS)})",
+    "relation_checksums": _contents("cal", "fo", "spend", "ret"),
     "standardize_dates": f"""select raw_id, order_date, {_parsed('order_date')} as order_day
         from raw_sales""",
     "normalize_category": f"""select raw_id, category, v as normalized from raw_sales
@@ -505,29 +569,45 @@ _BODIES = {
         {_money('rev')} as line_revenue, date + 25 as decided_on
         from fo join prod using (product_id) join cal using (date_id)
         where date + 25 <= {_LAST_DAY}""",
-    "full_refresh_counts": _counts(
-        {
-            "dim_customers": "cust",
-            "dim_products": "prod",
-            "dim_date": f"cal where date <= {_LAST_DAY}",
-            "fact_orders": "clean_fo",
-            "fact_marketing_spend": "clean_spend",
-            "fact_returns": f"""clean_ret join (select raw_id from raw_returns
-                where exported_on <= {_LAST_DAY}) on raw_id = return_id
-                where order_line_id in (select order_line_id from clean_fo)""",
+    "full_refresh_counts": f"""{_contents(_LOADED, "clean_fo", "clean_spend", _BOOKED)}
+        union all select *, null, null from ({_counts({
             "raw_sales_export": "raw_sales",
             "raw_marketing_spend": "raw_marketing",
-            "raw_returns": f"""raw_returns where exported_on <= {_LAST_DAY}
-                and order_line_id in (select order_line_id from clean_fo)""",
-        }
-    ),
+            "raw_returns": f"raw_returns where exported_on <= {_LAST_DAY} "
+            "and order_line_id in (select order_line_id from clean_fo)",
+        })})""",
     "incremental_append_counts": f"""select relation, cast(b as bigint) as rows_before,
-        cast(a as bigint) as rows_after {_AFTER}""",
+        cast(a as bigint) as rows_after, relation in ('dim_customers', 'dim_products') as same,
+        hash_a, hash_b {_AFTER} join ({_APPENDED}) using (relation)""",
     "incremental_idempotent": f"""select relation, cast(a as bigint) as rows_before,
-        cast(a as bigint) as rows_after, cast(0 as bigint) as days_again {_AFTER}""",
+        cast(a as bigint) as rows_after, true as same, hash_a, hash_b,
+        cast(0 as bigint) as days_again {_AFTER} join ({_APPENDED}) using (relation)""",
     "dq_bad_facts": """select 'fact_orders' as relation,
             count(*) filter (quantity <= 0 or cents <= 0 or rev < 0) as bad_rows from fo
         union all select 'fact_returns', count(*) filter (cents < 0) from ret""",
+    "dq_bad_facts_planted": f"""select 'fact_orders' as relation,
+            count(*) filter (quantity <= 0 or cents <= 0 or rev < 0) as bad_rows
+            from {_FAULTY_ORDERS}
+        union all select 'fact_returns', count(*) filter (cents < 0) from {_FAULTY_RETURNS}""",
+    "null_violations_planted": " union all ".join(
+        [
+            _nulls(
+                "fact_orders",
+                _FAULTY_ORDERS,
+                {
+                    **_same(*_ORDER_COLUMNS.split(", ")[:6]),
+                    "unit_price": "cents",
+                    "discount": "disc",
+                    "line_revenue": "rev",
+                },
+            ),
+            _nulls(
+                "fact_returns",
+                _FAULTY_RETURNS,
+                {**_same(*_RETURN_COLUMNS.split(", ")[:4]), "refund_amount": "cents"},
+            ),
+        ]
+    ),
     "dq_missing_calendar": """select count(*) as missing_days from (select distinct order_day
         from hdr where order_day not in (select date from cal))""",
     "pk_violations": " union all ".join(
