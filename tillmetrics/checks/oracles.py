@@ -218,43 +218,65 @@ CTES = {
     "clean_ret": f"""select raw_id as return_id, order_line_id, {_key('day')} as date_id,
         coalesce(nullif(reason, ''), 'Unknown') as reason, abs(cents) as cents
         from returns where reject_reason is null""",
-    # --- views
+    # --- views: totals per order, day or line first, unions in place of outer joins
+    "order_totals": """select customer_id, date_id, order_id, sum(quantity) as units, sum(rev) as rev
+        from fo group by all""",
     "daily_refunds": "select date_id, sum(cents) as refunds from ret group by date_id",
-    "daily": """select date, day_name, is_weekend, count(distinct order_id) as orders,
-        sum(quantity) as units, sum(rev) as gross, coalesce(any_value(refunds), 0) as refunds
-        from fo join cal using (date_id) left join daily_refunds using (date_id)
-        group by date, day_name, is_weekend""",
-    "weekly": """select year, week_of_year, min(date) as week_start, category, sum(rev) as rev
-        from fo join cal using (date_id) join prod using (product_id)
-        group by year, week_of_year, category""",
-    "shares": f"""select *, {_pct('rev', 'whole')} as pct_of_week from (
-        select *, sum(rev) over (partition by year, week_of_year) as whole,
-            min(week_start) over (partition by year, week_of_year) as week from weekly)""",
-    "regions": """select region, count(distinct customer_id) as customers,
-        count(distinct order_id) as orders, sum(rev) as rev
-        from fo join cust using (customer_id) where region <> 'Unknown' group by region""",
-    "counts": """select c.customer_id, cast(date_trunc('month', signup_date) as date) as cohort_month,
-        count(distinct order_id) as n_orders
-        from cust c left join fo using (customer_id) where region <> 'Unknown'
-        group by c.customer_id, signup_date""",
-    "month_spend": """select cast(date_trunc('month', date) as date) as month, channel,
-        sum(cents) as cents from spend join cal using (date_id) group by 1, 2""",
-    "month_new": """select cast(date_trunc('month', signup_date) as date) as month,
-        acquisition_channel as channel, count(*) as n from cust
-        where acquisition_channel <> 'Unknown' group by 1, 2""",
-    "costs": f"""select s.month, s.channel, cents, coalesce(n, 0) as n,
-        {_hundredths('cents', 'coalesce(n, 0)').replace('200 *', '2 *')} as cac
-        from month_spend s left join month_new n on n.month = s.month and n.channel = s.channel""",
-    "weeks": """select order_line_id, category,
-        min(date) over (partition by year, week_of_year) as week_start
-        from fo join prod using (product_id) join cal using (date_id)""",
-    "ret_weekly": """select week_start, category, count(distinct w.order_line_id) as lines,
-        count(distinct r.order_line_id) as back
-        from weeks w left join ret r on r.order_line_id = w.order_line_id group by 1, 2""",
-    "ret_summary": """select category, count(distinct f.order_line_id) as lines,
-        count(distinct r.order_line_id) as back, coalesce(sum(r.cents), 0) as cents
-        from fo f join prod using (product_id)
-        left join ret r on r.order_line_id = f.order_line_id group by category""",
+    "ledger": """select date_id, 1 as placed, units, rev, 0 as refund from order_totals
+        union all select date_id, 0, 0, 0, cents from ret""",
+    "daily": """select c.date, c.day_name, c.is_weekend, t.* from cal c join (
+            select date_id, cast(sum(placed) as bigint) as orders, sum(units) as units,
+                sum(rev) as gross, sum(refund) as refunds
+            from ledger group by date_id) t on t.date_id = c.date_id and t.orders > 0""",
+    "sold": """select date_id, category, sum(rev) as rev
+        from prod join fo on fo.product_id = prod.product_id group by all""",
+    "weekly": """select k // 100 as year, k % 100 as week_of_year, category, sum(rev) as rev,
+            min(make_date(date_id // 10000, date_id // 100 % 100, date_id % 100)) as week_start
+        from (select sold.*, year * 100 + week_of_year as k from sold, cal
+            where cal.date_id = sold.date_id)
+        group by k, category""",
+    "week_totals": """select year, week_of_year, sum(rev) as whole, min(week_start) as week
+        from weekly group by all""",
+    "shares": f"""select weekly.*, whole, week, {_pct('rev', 'whole')} as pct_of_week
+        from weekly join week_totals using (year, week_of_year)""",
+    "customer_totals": """select customer_id, count(*) as n_orders, sum(rev) as rev
+        from order_totals group by customer_id""",
+    "placed": "select * from cust where region <> 'Unknown'",
+    "regions": """select region, count(*) as customers, cast(sum(n_orders) as bigint) as orders,
+            sum(rev) as rev
+        from placed join customer_totals using (customer_id) group by region""",
+    "counts": """select customer_id, signup_date - cast(day(signup_date) - 1 as integer) as cohort_month,
+            coalesce((select n_orders from customer_totals t
+                where t.customer_id = placed.customer_id), 0) as n_orders from placed""",
+    "channel_months": """select month, channel, sum(cents) as cents, cast(sum(n) as bigint) as n from (
+            select make_date(date_id // 10000, date_id // 100 % 100, 1) as month, channel, cents,
+                0 as n from spend
+            union all
+            select signup_date - cast(day(signup_date) - 1 as integer), acquisition_channel, null, 1
+            from cust where acquisition_channel <> 'Unknown')
+        group by all""",
+    "month_spend": "select month, channel, cents from channel_months where cents is not null",
+    "month_new": "select month, channel, n from channel_months where n > 0",
+    "costs": f"""select month, channel, cents, n,
+            {_hundredths('cents', 'n').replace('200 *', '2 *')} as cac
+        from channel_months where cents is not null""",
+    "first_days": """select year, week_of_year, min(date) as week_start from cal
+        where date_id in (select date_id from fo) group by all""",
+    "weeks": """select order_line_id, category, week_start
+        from first_days join cal using (year, week_of_year) join fo using (date_id), prod
+        where prod.product_id = fo.product_id""",
+    "ret_weekly": """select week_start, category, count(*) as lines,
+            count(*) filter (order_line_id in (select order_line_id from ret)) as back
+        from (select distinct * from weeks) group by all""",
+    "line_refunds": "select order_line_id, sum(cents) as refund from ret group by order_line_id",
+    "ret_summary": """select category, cast(sum(lines) as bigint) as lines,
+            cast(sum(back) as bigint) as back, sum(refund) as cents from (
+            select product_id, count(distinct order_line_id) as lines, 0 as back, 0 as refund
+            from fo group by product_id
+            union all
+            select product_id, 0, count(distinct order_line_id), sum(refund)
+            from line_refunds join fo using (order_line_id) group by product_id)
+        join prod using (product_id) group by category""",
     # --- daily append: history is one batch, then one batch per day
     "i_sales": _labelled_sales(_BATCH),
     "i_orders": f"""select raw_id as order_line_id, batch, order_id, customer_id,
@@ -299,7 +321,7 @@ def _with(body: str) -> str:
     while todo:
         text = todo.pop()
         for name in CTES:
-            if name not in needed and re.search(rf"(?:from|join)\s+{name}\b", text):
+            if name not in needed and re.search(rf"(?:from|join|,)\s+{name}\b", text):
                 needed.add(name)
                 todo.append(CTES[name])
     ctes = [f"{name} as ({sql})" for name, sql in CTES.items() if name in needed]
@@ -741,11 +763,13 @@ _BODIES = {
     "finding_return_window": f"""select category, lines as order_lines, back as returned_lines,
         {_pct('back', 'lines')} as return_rate_pct,
         {_pct('(sum(back) over () - back)', '(sum(lines) over () - lines)')} as others_rate_pct
-        from (select category, count(distinct f.order_line_id) as lines,
-                count(distinct r.order_line_id) as back
-            from fo f join prod using (product_id) join cal using (date_id)
-            left join ret r on r.order_line_id = f.order_line_id
-            where date between {_LAST_DAY} - 70 and {_LAST_DAY} - 15 group by category)""",
+        from (select category, count(*) as lines,
+                count(*) filter (order_line_id in (select order_line_id from ret)) as back
+            from (select distinct order_line_id, category, date_id from fo, prod
+                where prod.product_id = fo.product_id)
+            where date_id in (select date_id from cal
+                where date between {_LAST_DAY} - 70 and {_LAST_DAY} - 15)
+            group by category)""",
     "finding_calendar_effect": f"""select effect, applies, count(*) as days,
         {_hundredths('sum(n)', 'count(*)')} as avg_orders
         from (select c.*, (select count(distinct order_id) from fo f
