@@ -19,7 +19,9 @@ from tillmetrics.operators import clean, lookup, quality
 from tillmetrics.plans import findings, pipeline, views
 from tillmetrics.session import prepare
 from tillmetrics.sources.export import checksums, export_csv, read_csv, row_counts, unchanged
+from tillmetrics.sources.files import read_file
 from tillmetrics.sources.market import GUEST_ID, Market
+from tillmetrics.sources.schemas import RAW_SALES, UNREADABLE
 from tillmetrics.sources.warehouse import BATCH, Warehouse, shared_folder, stamp
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +30,8 @@ QUERIES: dict[str, Query] = {}
 ELIGIBLE_DAY = dt.date(1998, 6, 30)
 COST_CHANNEL = "MACHINERY"
 APPENDED_DAYS = 14
+# Columns of a sales file.
+SALES_FILE = [f.name for f in RAW_SALES.fields if f.name not in ("raw_id", UNREADABLE, "loaded_at")]
 
 
 def plain(frame: DataFrame) -> DataFrame:
@@ -121,6 +125,33 @@ def relation_checksums(m: Market) -> DataFrame:
 # --- cleaning -------------------------------------------------------------------------
 
 
+@query
+def csv_unreadable_records(m: Market) -> DataFrame:
+    """Sales exported as text with discounts like 10% and names with line breaks, read and cleaned:
+    records, those that can't be read, and what the readable ones hold."""
+    sales = m.raw_sales_export
+    text = {f: F.col(f).cast("string") for f in SALES_FILE if f in sales.columns}
+    text["discount"] = F.when(
+        F.col("raw_id") % 31 == 0, F.concat(text["discount"], F.lit("%"))
+    ).otherwise(text["discount"])
+    text["product_name"] = F.when(
+        F.col("raw_id") % 37 == 0, F.concat("product_name", F.lit("\n"), "product_name")
+    ).otherwise(F.col("product_name"))
+    written = export_csv(
+        {"sales": sales.select(*[text[c].alias(c) for c in SALES_FILE])}, shared_folder(m.spark, "files")
+    )
+    w = Warehouse(m.spark, shared_folder(m.spark, "unreadable"))
+    read = read_file(m.spark, "raw_sales_export", written["sales"])
+    w.land("raw_sales_export", read.withColumn(BATCH, F.lit(dt.date(2000, 1, 1))), delivery="file")
+    bad = F.col("unreadable").isNotNull()
+    return w.raw()["raw_sales_export"].agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(bad).alias("unreadable"),
+        F.sum(F.when(~bad, F.col("discount"))).alias("discounts"),
+        F.sum(F.when(~bad, F.col("unit_price"))).alias("prices"),
+    )
+
+
 @query
 def standardize_dates(m: Market) -> DataFrame:
     return m.raw_sales.select(

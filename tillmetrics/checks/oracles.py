@@ -472,6 +472,12 @@ _BODIES = {
     "relation_row_counts": _counts(_CSV_RELATIONS),
     "export_csv_roundtrip": f"select *, true as same from ({_counts(_CSV_RELATIONS)})",
     "relation_checksums": _contents("cal", "fo", "spend", "ret"),
+    "csv_unreadable_records": """select count(*) + count(*) filter (broken) as records,
+            2 * count(*) filter (broken) + count(*) filter (odd and not broken) as unreadable,
+            cast(sum(disc) filter (not broken and not odd) as double) / 1000 as discounts,
+            cast(sum(cents) filter (not broken and not odd) as double) / 100 as prices
+        from (select *, raw_id % 37 = 0 as broken, raw_id % 31 = 0 and disc is not null as odd
+            from raw_sales)""",
     "standardize_dates": f"""select raw_id, order_date, {_parsed('order_date')} as order_day
         from raw_sales""",
     "normalize_category": f"""select raw_id, category, v as normalized from raw_sales
@@ -526,7 +532,7 @@ _BODIES = {
     "sales_report": f"""select cast(sum(copies) as bigint) as raw_rows,
         cast(sum(copies - 1) as bigint) as duplicates_dropped,
         {_dropped('sales', 'unparseable_date', 'invalid_quantity', 'invalid_price',
-                  'unmatched_category', 'unmatched_product')},
+                  'unmatched_category', 'unmatched_product', 'unreadable')},
         count(*) filter (reject_reason is null) as clean_rows from sales""",
     "marketing_report": f"""select cast(sum(copies) as bigint) as raw_rows,
         cast(sum(copies - 1) as bigint) as duplicates_dropped,

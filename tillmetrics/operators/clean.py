@@ -28,6 +28,7 @@ from tillmetrics.functions.columns import (
 )
 from tillmetrics.operators.dedupe import MARKETING_KEY, RETURNS_KEY, SALES_KEY, keep_first
 from tillmetrics.operators.lookup import lookup_customer, lookup_product
+from tillmetrics.sources.schemas import UNREADABLE
 
 BAD_DATE = "unparseable_date"
 BAD_QUANTITY = "invalid_quantity"
@@ -36,6 +37,14 @@ BAD_CATEGORY = "unmatched_category"
 BAD_PRODUCT = "unmatched_product"
 BAD_CHANNEL = "unmatched_channel"
 NO_AMOUNT = "null_amount"
+BAD_RECORD = "unreadable"
+
+
+def _with_record(raw: DataFrame) -> DataFrame:
+    """Rows that never were a file's record have nothing unreadable in it."""
+    if UNREADABLE in raw.columns:
+        return raw
+    return raw.withColumn(UNREADABLE, F.lit(None).cast("string"))
 
 
 def first_failure(*rules: tuple[str, Column]) -> Column:
@@ -66,14 +75,15 @@ def label_sales(
     # The category decides nothing but its vocabulary position, which is a
     # number: carrying that instead of the text keeps the deduplication a hash
     # aggregation.
-    coded = raw.select(
+    # Records that can't be read are nobody's copy: their missing values are not the same ones.
+    key = [*batch, *SALES_KEY, UNREADABLE]
+    coded = _with_record(raw).select(
         "raw_id",
-        *batch,
-        *SALES_KEY,
+        *key,
         vocabulary_code(F.col("category"), categories).alias("category_code"),
     )
     kept = (
-        keep_first(coded, [*batch, *SALES_KEY], ["category_code"])
+        keep_first(coded, key, ["category_code"])
         .withColumn("order_day", parse_date(F.col("order_date")))
         .withColumn("category", vocabulary_label(F.col("category_code"), categories))
     )
@@ -84,6 +94,7 @@ def label_sales(
         (BAD_PRICE, not_positive(F.col("unit_price"))),
         (BAD_CATEGORY, F.col("category").isNull()),
         (BAD_PRODUCT, F.col("product_id").isNull()),
+        (BAD_RECORD, F.col(UNREADABLE).isNotNull()),
     )
     return found.select(
         "raw_id",
@@ -126,22 +137,26 @@ def sales_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
 def label_marketing(
     raw: DataFrame, channels: Sequence[str], batch: Sequence[str] = ()
 ) -> DataFrame:
-    kept = keep_first(raw.select("raw_id", *batch, *MARKETING_KEY), [*batch, *MARKETING_KEY])
+    key = [*batch, *MARKETING_KEY, UNREADABLE]
+    kept = keep_first(_with_record(raw).select("raw_id", *key), key)
     day = parse_date(F.col("spend_date"))
     code = vocabulary_code(F.col("channel"), channels)
     reason = first_failure(
         (BAD_DATE, F.col("spend_day").isNull()),
         (BAD_CHANNEL, F.col("channel").isNull()),
-        (NO_AMOUNT, F.col("spend").isNull()),
+        # An amount in a record that can't be read may be part of one.
+        (NO_AMOUNT, F.col("spend").isNull() | F.col(UNREADABLE).isNotNull()),
     )
-    return kept.select(
+    labelled = kept.select(
         "raw_id",
         *batch,
         day.alias("spend_day"),
         vocabulary_label(code, channels).alias("channel"),
         "spend",
         "copies",
-    ).withColumn("reject_reason", reason)
+        UNREADABLE,
+    )
+    return labelled.withColumn("reject_reason", reason).drop(UNREADABLE)
 
 
 def marketing_columns() -> list[Column]:
@@ -169,16 +184,15 @@ def marketing_facts(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame
 
 
 def label_returns(raw: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
+    key = [*batch, *RETURNS_KEY, UNREADABLE]
     kept = keep_first(
-        raw.select("raw_id", *batch, *RETURNS_KEY, "refund_amount"),
-        [*batch, *RETURNS_KEY],
-        ["refund_amount"],
+        _with_record(raw).select("raw_id", *key, "refund_amount"), key, ["refund_amount"]
     )
     reason = first_failure(
         (BAD_DATE, F.col("return_day").isNull()),
-        (NO_AMOUNT, F.col("refund_amount").isNull()),
+        (NO_AMOUNT, F.col("refund_amount").isNull() | F.col(UNREADABLE).isNotNull()),
     )
-    return kept.select(
+    labelled = kept.select(
         "raw_id",
         *batch,
         "order_line_id",
@@ -186,7 +200,9 @@ def label_returns(raw: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
         "reason",
         "refund_amount",
         "copies",
-    ).withColumn("reject_reason", reason)
+        UNREADABLE,
+    )
+    return labelled.withColumn("reject_reason", reason).drop(UNREADABLE)
 
 
 def returns_columns() -> list[Column]:
@@ -268,6 +284,7 @@ def sales_report(labelled: DataFrame, batch: Sequence[str] = ()) -> DataFrame:
         _rejected(BAD_PRICE),
         _rejected(BAD_CATEGORY),
         _rejected(BAD_PRODUCT),
+        _rejected(BAD_RECORD),
         _clean_rows(),
     )
 

@@ -9,6 +9,8 @@ LINE_MONEY = T.DecimalType(12, 2)
 SPEND = T.DecimalType(20, 2)  # sums of a day and channel; they grow with the company
 RATE = T.DecimalType(4, 3)
 SCORE = T.DecimalType(6, 3)
+# A record of a file that does not fit its columns, as it stands there; NULL for all others.
+UNREADABLE = "unreadable"
 
 
 def _struct(nullable: bool, *fields: tuple[str, T.DataType]) -> T.StructType:
@@ -29,6 +31,7 @@ RAW_SALES = _struct(
     ("quantity", T.IntegerType()),
     ("unit_price", MONEY),
     ("discount", RATE),
+    (UNREADABLE, T.StringType()),
     ("loaded_at", T.TimestampNTZType()),
 )
 RAW_MARKETING = _struct(
@@ -37,6 +40,7 @@ RAW_MARKETING = _struct(
     ("spend_date", T.StringType()),
     ("channel", T.StringType()),
     ("spend", SPEND),
+    (UNREADABLE, T.StringType()),
     ("loaded_at", T.TimestampNTZType()),
 )
 RAW_RETURNS = _struct(
@@ -47,6 +51,7 @@ RAW_RETURNS = _struct(
     ("return_date", T.StringType()),
     ("reason", T.StringType()),
     ("refund_amount", MONEY),
+    (UNREADABLE, T.StringType()),
     ("loaded_at", T.TimestampNTZType()),
 )
 DIM_CUSTOMERS = _struct(
@@ -115,6 +120,7 @@ SALES_REPORT = _struct(
     ("invalid_price_dropped", T.LongType()),
     ("unmatched_category_dropped", T.LongType()),
     ("unmatched_product_dropped", T.LongType()),
+    ("unreadable_dropped", T.LongType()),
     ("clean_rows", T.LongType()),
 )
 MARKETING_REPORT = _struct(
