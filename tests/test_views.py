@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime as dt
+import re
 from decimal import Decimal as D
 
 import pytest
@@ -264,6 +266,40 @@ def test_decline_hidden_in_a_flat_total(spark, frame, star, rows):
     ]
 
 
+def test_decline_reads_the_days_of_its_weeks_alone(spark, frame, star, rows, tmp_path):
+    """Around New Year, where a week number comes twice in a year, and a long way from it."""
+    calendar = cal.calendar(cal.day_range(spark, day("2024-12-20"), day("2026-02-10")))
+    dates = [r["date_id"] for r in calendar.select("date_id").collect()]
+    lines = [
+        {"order_line_id": d * 10 + p, "product_id": p, "date_id": d, "line_revenue": (d * p) % 97 + 1}
+        for d in dates for p in (1, 2)
+    ]
+    frame(S.FACT_ORDERS, lines).write.parquet(f"{tmp_path}/orders")
+    orders = spark.read.parquet(f"{tmp_path}/orders")
+
+    def found(end, window):
+        return findings.category_decline(orders, calendar, star["dim_products"], day(end), window)
+
+    weekly = views.category_week_shares(orders, calendar, star["dim_products"])
+    weekly = [r.asDict() for r in weekly.collect()]
+    for end, window in (("2026-01-25", 40), ("2025-12-30", 21), ("2025-01-12", 20), ("2025-08-20", 0)):
+        since = day(end) - dt.timedelta(days=window)
+        first = {}
+        for r in weekly:
+            key = r["year"], r["week_of_year"]
+            first[key] = min(r["week_start"], first.get(key, r["week_start"]))
+        held = sorted((w, k) for k, w in first.items() if since <= w <= day(end))
+        edges = [held[0][1], held[-1][1]] if held else []
+        want = {
+            (r["category"], i): r["revenue"]
+            for r in weekly for i, k in enumerate(edges) if (r["year"], r["week_of_year"]) == k
+        }
+        got = found(end, window).collect()
+        assert {(r["category"], i): v for r in got for i, v in enumerate((r.first_revenue, r.last_revenue))} == want
+    plan = found("2025-08-20", 10)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*In\(date_id, \[20250804,", plan)
+
+
 def costs(spark, channel, *values):
     rows = [(day(f"2026-0{m}-01"), channel, D(v) if v else None) for m, v in enumerate(values, 1)]
     return spark.createDataFrame(rows, "month date, channel string, cac decimal(12,2)")

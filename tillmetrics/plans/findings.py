@@ -11,17 +11,38 @@ from tillmetrics.functions.columns import percent, ratio
 from tillmetrics.plans.views import category_week_revenue, line_outcomes
 
 
+def days_of_weeks(first: dt.date, last: dt.date) -> list[int]:
+    """Day ids of all weeks, by calendar year and ISO week, that have a day in a period.
+
+    A calendar year's last days may share the week number of its first ones.
+    """
+
+    def week(day: dt.date) -> tuple[int, int]:
+        return day.year, day.isocalendar().week
+
+    def days(start: dt.date, end: dt.date) -> list[dt.date]:
+        return [start + dt.timedelta(days=i) for i in range((end - start).days + 1)]
+
+    wanted = {week(day) for day in days(first, last)}
+    around = days(dt.date(first.year, 1, 1), dt.date(last.year, 12, 31))
+    return [d.year * 10000 + d.month * 100 + d.day for d in around if week(d) in wanted]
+
+
 def category_decline(
     orders: DataFrame, dates: DataFrame, products: DataFrame, end: dt.date, window_days: int
 ) -> DataFrame:
     """Each category against the total: first and last week of the trailing window.
 
-    A category that sold nothing in one of the two weeks counts 0 there.
+    A category that sold nothing in one of the two weeks counts 0 there. A week counts if its
+    first sold day lies in the window, so only days of weeks that have one there are read.
     """
-    since = F.lit(end - dt.timedelta(days=window_days))
+    first = end - dt.timedelta(days=window_days)
+    since = F.lit(first)
     week = Window.partitionBy("year", "week_of_year")
     weekly = (
-        category_week_revenue(orders, dates, products)
+        category_week_revenue(
+            orders.filter(F.col("date_id").isin(days_of_weeks(first, end))), dates, products
+        )
         .withColumn("total", F.sum("revenue").over(week))
         .withColumn("week", F.min("week_start").over(week))
         .filter((F.col("week") >= since) & (F.col("week") <= F.lit(end)))
