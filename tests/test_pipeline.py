@@ -389,6 +389,14 @@ def test_a_day_without_room_is_an_error(spark):
         stamp(given, F.col(BATCH), taken=(1 << 47) - 1).collect()
 
 
+def test_a_day_beyond_the_ids_is_an_error(spark):
+    given = spark.range(1)
+    last, next_ = (given.withColumn(BATCH, F.lit(day(d))) for d in ("2149-06-05", "2149-06-06"))
+    assert stamp(last, F.col(BATCH)).first()["raw_id"] == 65535 << 47
+    with pytest.raises(Exception, match="room for days up to 2149"):
+        stamp(next_, F.col(BATCH)).collect()
+
+
 def test_ids_of_rows_that_a_shuffle_deals(spark, tmp_path):
     """A job that reads fewer columns of a shuffle has fewer, larger tasks."""
     deals = {
