@@ -391,7 +391,7 @@ def test_a_day_without_room_is_an_error(spark):
 
 def test_a_day_beyond_the_ids_is_an_error(spark):
     given = spark.range(1)
-    last, next_ = (given.withColumn(BATCH, F.lit(day(d))) for d in ("2149-06-05", "2149-06-06"))
+    last, next_ = (given.withColumn(BATCH, F.lit(day(d))) for d in ("2149-06-06", "2149-06-07"))
     assert stamp(last, F.col(BATCH)).first()["raw_id"] == 65535 << 47
     with pytest.raises(Exception, match="room for days up to 2149"):
         stamp(next_, F.col(BATCH)).collect()
