@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), docs being all that its predecessor kept, and returns the
 columns of documents; the last one returns tokens. A stage that ran is on disk in the shared
 checkpoint folder, so losing executors never costs more than the stage at work.
+
+Every stage takes the columns of documents alone; others, whatever their names, are left behind. An
+empty table passes through as an empty one. Null and empty texts have no language and go in the first
+stage, with or without doc_id. Repeated rows are copies: one of them stays in the second stage, of
+equal ids and texts as of different ones. Very long texts are worked on whole. A null lang is
+filled in, a null source stays null, and so does a null n_chars unless the text is cut.
 """
 
 from __future__ import annotations
