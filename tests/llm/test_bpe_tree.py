@@ -53,6 +53,21 @@ def test_words_are_the_whole(tokenizer, dice):
         ]
 
 
+def test_memory_of_words_is_bounded(tokenizer, dice):
+    words = B.Words(tokenizer, most=200_000)
+    held = lambda: [*words.known.items(), *words.before.items()]
+    most = 0  # of the texts encoded at a time
+    for kind in ("漢字かな", "abcdefgh"):
+        for length in (3, B.LONG, B.LONG + 1, 2000):
+            for _ in range(20):
+                texts = ["".join(dice.choices(kind, k=length)) for _ in range(20)]
+                ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+                assert words.encode(texts) == [words.part(i) for i in ids]
+                assert all(len(w) <= B.LONG for w, _ in held())
+                most = max(most, sum(words.cost(t, words.part(i)) for t, i in zip(texts, ids)))
+                assert sum(words.cost(*x) for x in held()) <= words.most + 2 * most
+
+
 def digests(tokenizer, text):
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()

@@ -11,7 +11,9 @@ encoded anew and doubled until it agrees with what stands on either side. It agr
 * at the very beginning or end of the text.
 
 The result is that of encoding the whole text at once. A long text is in one task as a row of the
-table anyway; nothing else is gathered. The vocabulary file is read once by the driver and
+table anyway; nothing else is gathered. Words a task remembers are bounded by their bytes, and those
+of texts without white space are not remembered, so that memory doesn't grow with such texts. The
+vocabulary file is read once by the driver and
 broadcast: its size doesn't depend on the data.
 
 Null texts are empty; empty texts have no tokens; repeated rows give repeated results, rows
@@ -40,7 +42,8 @@ LEAF = 32_768  # code points
 WINDOW = 64  # code points on either side of a join, to begin with
 AGREE = 4  # equal tokens in a row inside a run of letters
 BATCH = 1 << 18  # code points encoded at a time
-CACHE = 300_000  # words whose ids a task remembers, and as many of those before
+CACHE = 64 << 20  # bytes (estimated by cost()) of remembered words a task holds, old and new ones
+LONG = 128  # longer words, as texts without white space have them, are not remembered
 EDGE = 1024  # code points at either end of a leaf whose tokens are kept one by one
 SPACE = frozenset(" \t\n\r")
 
@@ -226,6 +229,7 @@ class Words:
 
     def __init__(self, tokenizer, most: int = CACHE):
         self.tokenizer, self.most = tokenizer, most
+        self.size = 0  # of the words in `known`
         self.known: dict[str, Part] = {}
         self.before: dict[str, Part] = {}
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
@@ -249,19 +253,32 @@ class Words:
             " ".join([p[2] for p in parts]),
         )
 
+    @staticmethod
+    def cost(word: str, part: Part) -> int:
+        """About how many bytes a remembered word takes: four strings and tuples beside its text."""
+        return 400 + 4 * len(word) + len(part[1]) + 4 * len(part[2])
+
     def encode(self, texts: list[str]) -> list[Part]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > self.most:
-            self.known, self.before = {}, self.known
-        known, before, new = self.known, self.before, []
+        known, before, new, size = self.known, self.before, [], self.size
         for w in set(chain.from_iterable(split)).difference(known):
             if w in before:
-                known[w] = before[w]
+                known[w] = part = before[w]
+                size += self.cost(w, part)
             else:
                 new.append(w)
         made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
         known.update(zip(new, [self.part(m.ids) for m in made]))
-        return [self.together([known[w] for w in words]) for words in split]
+        joined = [self.together([known[w] for w in words]) for words in split]
+        for w in new:
+            if len(w) > LONG:
+                del known[w]
+            else:
+                size += self.cost(w, known[w])
+        self.size = size
+        if size > self.most // 2:
+            self.known, self.before, self.size = {}, known, 0
+        return joined
 
 
 def _digests(part: Part) -> tuple[int, str, str]:
