@@ -24,16 +24,17 @@ def brute(docs, items):
         for item, passage in set(items):
             b = words(passage)
             block = min(len(b), D.BLOCK)
-            if block == 0 or D.tolerance(block) < 0:
+            if block == 0:
                 continue
+            need = block - max(D.tolerance(block), 0)  # all words of items shorter than the masks
             best = None
             for d in range(-len(b) + 1, len(w)):
                 equal = [0 <= d + k < len(w) and w[d + k] == x for k, x in enumerate(b)]
-                if sum(equal) < block - D.tolerance(block):
+                if sum(equal) < need:
                     continue
                 for s in range(len(b) - block + 1):
                     most = sum(equal[s : s + block])
-                    if most >= block - D.tolerance(block):
+                    if most >= need:
                         new = (most, sum(equal), -d, -s)
                         best = max(best or new, new)
             if best:
@@ -48,7 +49,7 @@ def test_masks_leave_no_gap():
 
 @pytest.fixture
 def case(dice):
-    items = [(i, prose(dice, n, 5000)) for i, n in enumerate((8, 11, 14, 16, 25, 60, 5, 0))]
+    items = [(i, prose(dice, n, 5000)) for i, n in enumerate((8, 11, 14, 16, 25, 60, 5, 0, 7, 2, 1))]
     items += [(20, items[4][1]), (21, None), (None, prose(dice, 30, 5000)), items[3]]
     docs = [(1, None), (2, ""), (3, items[5][1]), (3, items[5][1]), (None, "x " + items[4][1])]
     for i in range(30):
@@ -86,6 +87,21 @@ def test_sql_says_the_same(spark, documents, case, folder):
     assert set(con.sql(D.SQL).fetchall()) == brute(docs, items)
 
 
+def test_short_items(spark, documents):
+    question = "What is the capital of France?"
+    docs = [(1, f"Quiz: {question.upper()} Paris."), (2, "what is the capital of france"), (3, "of France")]
+    docs += [(4, "what is the old capital of france"), (5, "is the capital of france"), (6, None), (7, "aye")]
+    items = [(1, question), (2, "of france"), (3, "aye"), (4, "?!"), (5, None)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = D.overlaps(documents(docs), benchmark).drop("text_key").collect()
+    assert {tuple(r) for r in found} == brute(docs, items)
+    assert {r.doc_id for r in found if r.item_id == 1} == {1, 2}
+    assert {r.doc_id for r in found if r.item_id == 2} == {1, 2, 3, 4, 5}
+    assert {r.doc_id for r in found if r.item_id == 3} == {7}
+    only = benchmark.filter("item_id = 1")
+    assert [r.doc_id for r in D.clean(documents(docs), only).orderBy("doc_id").collect()] == [3, 4, 5, 6, 7]
+
+
 def test_clean_documents_stay(spark, documents, case):
     docs, items = case
     rows = [(*d, i, "k") for i, d in enumerate(docs)]

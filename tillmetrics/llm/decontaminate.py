@@ -8,16 +8,19 @@ the item if some stretch of BLOCK words, or the whole of a shorter item, has no
 tolerated substitutions.
 
 The masks are chosen so that no such stretch is missed: whichever 3 of 16 words are replaced, one
-mask still finds a window without any (tolerance() works out the same for shorter items). So the
-result is that of comparing every stretch with every other one.
+mask still finds a window without any (tolerance() works out the same for shorter items). Items
+shorter than every mask are held word for word or not at all: each of their lengths that occurs in
+the benchmark is a mask of its own in which every word counts. So the result is that of comparing
+every stretch with every other one, whatever its length.
 
 The benchmark's hashes are broadcast if they are counted to be at most BROADCAST rows, else both
 sides are shuffled by hash and hot hashes left to adaptive execution. Hits are counted once for
 each diagonal before the documents' words are read again for comparison.
 
 Words are those of the license scan: digits, letters in lower case, and all beyond ASCII. Null and
-empty texts hold nothing; items shorter than the shortest mask are too short to tell from chance
-and are never found; rows repeated on either side give one row; rows without an id are matched,
+empty texts hold nothing and items without words are held by nothing; an item of one word is held
+by every document with that word; very long texts are read like others, hashes and hits of one
+text in its own row; rows repeated on either side give one row; rows without an id are matched,
 too; other columns are ignored; an empty table on either side gives an empty result.
 """
 
@@ -59,18 +62,18 @@ def _hashes(masks: tuple[str, ...]) -> Column:
     """Hashes of the windows of `word_hashes` under each mask, one mask after the other."""
     own = F.col("word_hashes")
 
-    def under(number: int, mask: str) -> Column:
+    def under(mask: str) -> Column:
         places = [i for i, c in enumerate(mask) if c == "1"]
         last = F.size(own) - len(mask)
         return F.when(
             last >= 0,
             F.transform(
                 F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-                lambda at: F.xxhash64(F.lit(number), *[F.get(own, at + i) for i in places]),
+                lambda at: F.xxhash64(F.lit(int(mask, 2)), *[F.get(own, at + i) for i in places]),
             ),
         ).otherwise(F.array().cast("array<bigint>"))
 
-    return F.concat(*[under(n, m) for n, m in enumerate(masks)])
+    return F.concat(*map(under, masks))
 
 
 def _windows(rows: DataFrame, masks: tuple[str, ...], *keys: str) -> DataFrame:
@@ -90,14 +93,17 @@ def _word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
+def needed(length: int, masks: tuple[str, ...] = MASKS) -> int:
+    """How many of `length` words must be equal; all of them below the shortest mask."""
+    return length - max(tolerance(length, masks), 0)
+
+
 def items_of(benchmark: DataFrame, masks: tuple[str, ...], block: int) -> DataFrame:
     """Distinct items with their words and the equal words that a stretch of them must have."""
-    lengths = {n: tolerance(n, masks) for n in range(1, block + 1)}
     need = F.lit(None).cast("int")
     stretch = F.least(F.size("item_words"), F.lit(block))
-    for n, replaced in lengths.items():
-        if replaced >= 0:
-            need = F.when(stretch == n, n - replaced).otherwise(need)
+    for n in range(1, block + 1):
+        need = F.when(stretch == n, needed(n, masks)).otherwise(need)
     return (
         benchmark.select("item_id", whole("text").alias("text"))
         .distinct()
@@ -111,6 +117,24 @@ def items_of(benchmark: DataFrame, masks: tuple[str, ...], block: int) -> DataFr
     )
 
 
+def _seeds(items: DataFrame, masks: tuple[str, ...]) -> tuple[DataFrame, tuple[str, ...]]:
+    """item_key, n_words, item_place and hash of the items' windows, and the masks documents need."""
+    hashed = items.select(
+        "item_key",
+        F.size("item_words").alias("n_words"),
+        F.transform("item_words", lambda w: F.xxhash64(w)).alias("word_hashes"),
+    )
+    shortest = min(map(len, masks))
+    below = hashed.filter(F.col("n_words") < shortest)
+    # Fewer numbers than the shortest mask has places.
+    lengths = sorted(r["n_words"] for r in below.select("n_words").distinct().collect())
+    seeds = _windows(hashed.filter(F.col("n_words") >= shortest), masks, "item_key", "n_words")
+    for n in lengths:
+        own = below.filter(F.col("n_words") == n)
+        seeds = seeds.unionByName(_windows(own, ("1" * n,), "item_key", "n_words"))
+    return seeds.withColumnRenamed("place", "item_place"), (*masks, *["1" * n for n in lengths])
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -126,19 +150,12 @@ def overlaps(
     items = items_of(benchmark, masks, block)
     texts = docs.select("doc_id", whole("text").alias("text"))
     texts = texts.withColumn("text_key", F.xxhash64("text"))
-    seeds = _windows(
-        items.select("item_key", F.size("item_words").alias("n_words"), "item_words").withColumn(
-            "word_hashes", F.transform("item_words", lambda w: F.xxhash64(w))
-        ),
-        masks,
-        "item_key",
-        "n_words",
-    ).withColumnRenamed("place", "item_place")
+    seeds, used = _seeds(items, masks)
     if seeds.count() <= broadcast:
         seeds = F.broadcast(seeds)
     read = _windows(
         texts.select("doc_id", "text_key", _word_hashes(F.col("text")).alias("word_hashes")),
-        masks,
+        used,
         "doc_id",
         "text_key",
     )
@@ -239,7 +256,7 @@ def _sql_words(column: str) -> str:
       '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
 
 
-_NEEDS = ", ".join(f"({n}, {n - t})" for n in range(1, BLOCK + 1) if (t := tolerance(n)) >= 0)
+_NEEDS = ", ".join(f"({n}, {needed(n)})" for n in range(1, BLOCK + 1))
 # Every diagonal with enough equal words, every stretch on it; no hashes.
 SQL = f"""
 with need(stretch, need) as (values {_NEEDS}),
