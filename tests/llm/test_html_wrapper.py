@@ -85,6 +85,22 @@ def test_constant_nodes_become_template(spark):
     assert {found[20 + i] for i in range(5)} == {"Welcome to the site\nthe same\nall rights"}
 
 
+OTHER_NAMES = "copyright promotion promo related search share social toolbar login newsletter modal".split()
+
+
+@pytest.mark.parametrize("name", OTHER_NAMES)
+def test_other_names_say_nothing(name):
+    for attribute in ("id", "class"):
+        assert text(f"<div {attribute}={name}><h1>Search of graphs</h1><p>long text</div>") == "Search of graphs\nlong text"
+
+
+def test_wrapper_decides_what_other_names_hold(spark):
+    body = "<div class=related><p>Read more here</div><div class=promotion><p>story {}</div>".format
+    rows = [(i, "http://a.example/", body(i)) for i in range(H.FEW + 2)]
+    found = {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"story {i}" for i in range(H.FEW + 2)}
+
+
 def test_template_inside_an_article_needs_many_pages(spark):
     body = "<article><div>Share this</div><p>story {}</article>".format
     rows = [(i, "http://wide.example/", body(i)) for i in range(H.WIDE)]

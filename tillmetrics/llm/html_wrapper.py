@@ -10,9 +10,9 @@ one whose text varies is a slot.
 
 Text is kept if it lies in a slot, or in a node that too few pages have, and no element
 around it says that it is a menu, header, footer, sidebar, notice, advert, form, script, style
-or reader comment. Classes and ids say so by whole names, but not those of html, body, the article
-or, where it is the only one, what holds it. Where a page marks its article (article, main, role=main, or a class like
-post-content) only that counts. An article and its copies look constant to a host that has little
+or reader comment. Classes and ids say so by whole names, those of these kinds alone, but not on html,
+body, the article or, where it is the only one, what holds it. Where a page marks its article
+(article, main, role=main, or a class like post-content) only that counts. An article and its copies look constant to a host that has little
 else, so inside a marked article template needs WIDE different pages, and every page of the host that has
 this article element must have the node and agree; outside, FEW that agree.
 
@@ -65,15 +65,15 @@ TAGS = frozenset(
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search".split()
 )
+# Names of the kinds an article goes without: menus, headers, footers, sidebars and their widgets,
+# notices, adverts, forms, readers' comments. All other names say nothing; the wrapper decides.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment "
-    "comments consent cookie cookies copyright disclaimer disqus footer form header login menu modal "
-    "nav navbar navigation newsletter notice notices notification pager pagination popup promo "
-    "promoted promotion related replies respond search share sharing sidebar signup social "
-    "sponsor sponsored subscribe toolbar widget".split()
+    "comments consent cookie cookies disqus footer form header menu nav navbar navigation notice "
+    "notices notification pager pagination replies respond sidebar sponsor sponsored widget".split()
 )
 # Marks of what has articles of its own.
-OTHERS = frozenset("comment comments disqus related replies respond".split())
+OTHERS = frozenset("comment comments disqus replies respond".split())
 
 # Classes and ids that mark the article as its element would.
 ARTICLES = frozenset(
