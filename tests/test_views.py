@@ -109,6 +109,21 @@ def test_region_summary(star, rows):
     ]
 
 
+def test_region_summary_multiplies_no_rows(star, rows):
+    # An order of two customers of a region counts once; customers repeated in the dimension, too.
+    orders, customers = star["fact_orders"], star["dim_customers"]
+    spain = customers.filter("region = 'Spain'")
+    first = spain.agg({"customer_id": "min"}).first()[0]
+    shared = orders.unionByName(
+        orders.join(spain.select("customer_id"), "customer_id", "left_semi")
+        .select(*[F.lit(first).cast("bigint").alias(c) if c == "customer_id" else c for c in orders.columns])
+    )
+    found = views.region_summary(shared, customers)
+    (row,) = [r for r in found.collect() if r["region"] == "Spain"]
+    assert (row["customers"], row["orders"], row["revenue"]) == (2, 3, D("200.02"))
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_repeat_rate_counts_customers_without_orders(star, rows):
     found = views.customer_repeat_rate(star["fact_orders"], star["dim_customers"])
     assert rows(found) == [
