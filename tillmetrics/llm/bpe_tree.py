@@ -11,7 +11,7 @@ encoded anew and doubled until it agrees with what stands on either side. It agr
 * at the very beginning or end of the text.
 
 The result is that of encoding the whole text at once. A long text is in one task as a row of the
-table anyway; nothing else is gathered. Words a task remembers are bounded by their bytes, and those
+table anyway; nothing else is gathered. Words a worker remembers are bounded by their bytes, and those
 of texts without white space are not remembered, so that memory doesn't grow with such texts. The
 vocabulary file is read once by the driver and
 broadcast: its size doesn't depend on the data.
@@ -42,7 +42,7 @@ LEAF = 32_768  # code points
 WINDOW = 64  # code points on either side of a join, to begin with
 AGREE = 4  # equal tokens in a row inside a run of letters
 BATCH = 1 << 18  # code points encoded at a time
-CACHE = 256 << 20  # bytes (estimated by cost()) of remembered words a task holds, old and new ones
+CACHE = 256 << 20  # bytes (estimated by cost()) of the words a worker remembers, old and new ones
 LONG = 128  # longer words, as texts without white space have them, are not remembered
 EDGE = 1024  # code points at either end of a leaf whose tokens are kept one by one
 SPACE = frozenset(" \t\n\r")
@@ -281,6 +281,14 @@ class Words:
         return joined
 
 
+def _words(vocabulary) -> Words:
+    """A worker holds the value of a broadcast between its tasks, and so what they have met."""
+    held = vocabulary.value
+    if "words" not in held:
+        held["words"] = Words(load(held["file"]))
+    return held["words"]
+
+
 def _digests(part: Part) -> tuple[int, str, str]:
     n, ids, decoded = part
     return n, *(hashlib.sha256(x.encode("utf-8")).hexdigest() for x in (ids, decoded))
@@ -309,7 +317,7 @@ def _encode_short(vocabulary, with_ids: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = None
         for batch in batches:
-            words = words or Words(load(vocabulary.value))
+            words = words or _words(vocabulary)
             texts = batch.column("text").to_pylist()
             kept = [c for c in batch.schema.names if c != "text"]
             for rows in _batches([len(t) for t in texts]):
@@ -352,7 +360,7 @@ def _encode_leaves(vocabulary, edge: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = None
         for batch in batches:
-            words = words or Words(load(vocabulary.value))
+            words = words or _words(vocabulary)
             for i, piece in enumerate(batch.column("piece").to_pylist()):
                 node = node_of_leaf(words, piece, edge)
                 n, ids, decoded = node.parts[0] if node.parts else (-1, "", "")
@@ -379,7 +387,7 @@ def _join_leaves(vocabulary, kept: list[str], with_ids: bool, out: str) -> Calla
         rows = chain.from_iterable(b.slice(i, 1).to_pylist() for b in batches for i in range(len(b)))
         words = None
         for _, group in groupby(rows, key=lambda r: r["row_key"]):
-            words = words or Words(load(vocabulary.value))
+            words = words or _words(vocabulary)
             leaves: dict[int, dict] = {}
             copies = 0  # rows repeated in the table share their leaves
             for r in group:
@@ -403,7 +411,8 @@ def encode(
     edge: int = EDGE,
 ) -> DataFrame:
     """Columns `keep` of docs with n_tokens and the digests of the ids and of the decoded text."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Path(path).read_text(encoding="utf-8"))
+    file = Path(path).read_text(encoding="utf-8")
+    vocabulary = docs.sparkSession.sparkContext.broadcast({"file": file})
     kinds = dict(docs.dtypes)
     own = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
     out = f"{own}, {OUT}" + ", ids array<int>" * with_ids
