@@ -268,15 +268,14 @@ class Words:
             else:
                 new.append(w)
         made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.update(zip(new, [self.part(m.ids) for m in made]))
+        parts = [self.part(m.ids) for m in made]
+        known.update(zip(new, parts))
         joined = [self.together([known[w] for w in words]) for words in split]
+        self.size = size + sum(map(self.cost, new, parts))
         for w in new:
             if len(w) > LONG:
-                del known[w]
-            else:
-                size += self.cost(w, known[w])
-        self.size = size
-        if size > self.most // 2:
+                self.size -= self.cost(w, known.pop(w))
+        if self.size > self.most // 2:
             self.known, self.before, self.size = {}, known, 0
         return joined
 
