@@ -42,7 +42,7 @@ LEAF = 32_768  # code points
 WINDOW = 64  # code points on either side of a join, to begin with
 AGREE = 4  # equal tokens in a row inside a run of letters
 BATCH = 1 << 18  # code points encoded at a time
-CACHE = 256 << 20  # bytes (estimated by cost()) of the words a worker remembers, old and new ones
+CACHE = 384 << 20  # bytes (estimated by cost()) of the words a worker remembers, old and new ones
 LONG = 128  # longer words, as texts without white space have them, are not remembered
 EDGE = 1024  # code points at either end of a leaf whose tokens are kept one by one
 SPACE = frozenset(" \t\n\r")
