@@ -110,6 +110,25 @@ def test_crowded_shard_in_chunks(spark):
     assert [names[v] for v in values] == want
 
 
+def test_groups_of_many_links_are_joined_as_they_are_found(monkeypatch):
+    dice = np.random.default_rng(3)
+    noise = [sum(1 << int(b) for b in dice.choice(40, 5, replace=False)) for _ in range(300)]
+    values = np.unique(np.array(noise, np.uint64))
+    want = roots(values.tolist())
+    fps, parts = values.view(np.int64), np.zeros(len(values), np.int64)
+    for pending, piece in ((1 << 20, 8192), (40, 16)):
+        monkeypatch.setattr(S, "PENDING", pending)
+        monkeypatch.setattr(S, "SLICE", piece)
+        a, b = S.links_of_shard(fps, parts, (0, 0), 4)
+        names = dict(zip(a.tolist(), b.tolist()))
+        assert [names.get(v, v) for v in fps.tolist()] == [values[i] for i in want]
+    assert 1 < len(set(want)) < len(want)
+
+
+def test_rows_dealt_out_for_a_crowded_shard():
+    assert -(-200_000 // S.CHUNK) < 4 and -(-1_000_000 // S.CHUNK) < 16
+
+
 def test_chain_of_links(spark):
     chain = [(i, i + 1) for i in range(200)] + [(1000, 1001), (5, 5)]
     found = graph.components(spark.createDataFrame(chain, "a long, b long")).collect()

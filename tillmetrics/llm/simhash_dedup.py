@@ -9,8 +9,11 @@ and a search follows only the edges within the radius of the distance.
 Trees of all shards would grow with the corpus, so they aren't broadcast: Spark shuffles each
 shard to a task, which builds its tree and searches it. Equal fingerprints are one node from the
 start. A shard of more than CHUNK fingerprints is dealt out as pairs of chunks, each pair a task's
-group of its own: one chunk is the tree, the other one searches it. A group yields a star per
-connected set instead of all its pairs. Components are joined up by Spark (graph.py).
+group of its own: one chunk is the tree, the other one searches it. A shard of n fingerprints so
+becomes n * ceil(n / CHUNK) rows: three for each of 200,000, thirteen for each of a million. What a
+search finds is joined up as it goes, so a group holds a root for each fingerprint and a bounded
+number of links, however many pairs lie within the radius. It yields a star per connected set.
+Components are joined up by Spark (graph.py).
 
 k grows with the number of fingerprints so that unrelated ones seldom share a shard; any k finds
 all pairs.
@@ -37,7 +40,9 @@ from tillmetrics.llm.text import shared_folder, table
 
 SHINGLE = 4  # words
 RADIUS = 4  # bits
-CHUNK = 2048  # fingerprints of a shard that one search handles
+CHUNK = 81_920  # fingerprints of a shard that one tree holds, or that search it
+SLICE = 8192  # fingerprints that walk down a tree together
+PENDING = 1 << 20  # links that are held before they are joined up
 LEAF = 32  # fingerprints a node of a tree may hold unsplit
 CROWD = 64  # unrelated fingerprints expected in a shard at most
 SEED = 42
@@ -124,31 +129,34 @@ class Tree:
                 at = distance == d
                 self.children[int(d)] = Tree(values[1:][at], ids[1:][at])
 
-    def search(self, wanted: np.ndarray, ids: np.ndarray, radius: int) -> list[np.ndarray]:
-        """Arrays of (id wanted, id found) within the radius."""
+    def walk(self, wanted: np.ndarray, ids: np.ndarray, radius: int) -> Iterator[np.ndarray]:
+        """Arrays of (id wanted, id found) within the radius, a node at a time."""
         distance = np.bitwise_count(wanted[:, None] ^ self.values[None, :])
         rows, columns = np.nonzero(distance <= radius)
-        found = [np.stack([ids[rows], self.ids[columns]])]
+        if len(rows):
+            yield np.stack([ids[rows], self.ids[columns]])
         if self.children:
             to_root = distance[:, 0].astype(np.int64)
             for edge, child in self.children.items():
                 near = np.abs(to_root - edge) <= radius
                 if near.any():
-                    found += child.search(wanted[near], ids[near], radius)
-        return found
+                    yield from child.walk(wanted[near], ids[near], radius)
+
+    def search(self, wanted: np.ndarray, ids: np.ndarray, radius: int) -> list[np.ndarray]:
+        return list(self.walk(wanted, ids, radius))
 
 
-def _stars(n: int, links: np.ndarray) -> np.ndarray:
-    """The smallest member of each id's connected set."""
-    root = np.arange(n)
+def _stars(root: np.ndarray, links: np.ndarray) -> np.ndarray:
+    """The smallest member of each id's connected set, from that of sets known and links more."""
     while True:
-        low = np.minimum(root[links[0]], root[links[1]])
-        new = root.copy()
-        np.minimum.at(new, root[links[0]], low)
-        np.minimum.at(new, root[links[1]], low)
-        new = new[new]
-        if (new == root).all():
+        ends = root[links]
+        links = ends[:, ends[0] != ends[1]]
+        if not links.shape[1]:
             return root
+        new = root.copy()
+        np.minimum.at(new, links.max(axis=0), links.min(axis=0))
+        while (new != new[new]).any():
+            new = new[new]
         root = new
 
 
@@ -158,9 +166,18 @@ def links_of_shard(fps: np.ndarray, parts: np.ndarray, pair: tuple[int, int], ra
     tree_side = parts == pair[0]
     search_side = parts == pair[1]
     tree = Tree(values[tree_side], ids[tree_side])
-    found = tree.search(values[search_side], ids[search_side], radius)
-    links = np.concatenate(found, axis=1)
-    root = _stars(len(fps), links[:, links[0] != links[1]])
+    wanted, known = values[search_side], ids[search_side]
+    root, pending, held = ids, [], 0
+    for at in range(0, len(wanted), SLICE):
+        for found in tree.walk(wanted[at : at + SLICE], known[at : at + SLICE], radius):
+            found = found[:, root[found[0]] != root[found[1]]]
+            if found.shape[1]:
+                pending.append(found)
+                held += found.shape[1]
+            if held > PENDING:
+                root, pending, held = _stars(root, np.concatenate(pending, axis=1)), [], 0
+    if held:
+        root = _stars(root, np.concatenate(pending, axis=1))
     linked = root != ids
     return fps[linked], fps[root[linked]]
 
