@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from pathlib import Path
 
 import pytest
@@ -68,6 +69,20 @@ def test_memory_of_words_is_bounded(tokenizer, dice):
                 assert sum(words.cost(*x) for x in held()) <= words.most + 2 * most
 
 
+def test_remembered_words_take_what_they_are_counted_for(tokenizer, dice):
+    words = B.Words(tokenizer)
+    texts = [" ".join("".join(dice.choices("abcdefgh", k=9)) for _ in range(1000)) for _ in range(20)]
+    words.encode(texts[:1])
+    tracemalloc.start()
+    before, counted = tracemalloc.get_traced_memory()[0], words.size
+    words.encode(texts)
+    taken = tracemalloc.get_traced_memory()[0] - before
+    tracemalloc.stop()
+    assert taken < 1.2 * (words.size - counted)
+    assert taken < 280 * (len(words.known) - 1000)  # several strings a word took over 400
+    assert B.CACHE <= 64 << 20  # two workers share an executor's memory with its JVM
+
+
 def digests(tokenizer, text):
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()

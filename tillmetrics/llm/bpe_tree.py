@@ -24,6 +24,8 @@ from __future__ import annotations
 
 import hashlib
 import os
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import chain, groupby
 from pathlib import Path
@@ -42,7 +44,8 @@ LEAF = 32_768  # code points
 WINDOW = 64  # code points on either side of a join, to begin with
 AGREE = 4  # equal tokens in a row inside a run of letters
 BATCH = 1 << 18  # code points encoded at a time
-CACHE = 384 << 20  # bytes (estimated by cost()) of the words a worker remembers, old and new ones
+CACHE = 48 << 20  # bytes (by cost()) of the words a worker remembers, old and new ones
+ENTRY = 100  # bytes of a remembered word beside its text and ids: a bytes object, a place in a growing dict
 LONG = 128  # longer words, as texts without white space have them, are not remembered
 EDGE = 1024  # code points at either end of a leaf whose tokens are kept one by one
 SPACE = frozenset(" \t\n\r")
@@ -224,25 +227,27 @@ class Words:
 
     No normalisation or rule of the vocabulary reaches across a blank or a line break, so the ids of
     a text are those of its words in a row. Words met lately are looked up; what else counts as
-    white space stays inside a word and is left to the tokenizer.
+    white space stays inside a word and is left to the tokenizer. Of a word only its ids are
+    remembered, four bytes each: a part is made of all ids of a text at once.
     """
 
     def __init__(self, tokenizer, most: int = CACHE):
         self.tokenizer, self.most = tokenizer, most
         self.size = 0  # of the words in `known`
-        self.known: dict[str, Part] = {}
-        self.before: dict[str, Part] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-        self.decimal = [str(i) for i in range(max(vocabulary.values()) + 1)]
-        self.tokens = [""] * len(self.decimal)
+        count = max(vocabulary.values()) + 1
+        self.decimal = np.array([str(i) for i in range(count)], object)
+        self.tokens = np.full(count, "", object)
         for token, i in vocabulary.items():
             self.tokens[i] = token
         if tokenizer.decoder is not None:
             raise ValueError("decoded texts are only put together from tokens without a decoder")
 
-    def part(self, ids: list[int]) -> Part:
-        decimal, tokens = self.decimal, self.tokens
-        return len(ids), " ".join([decimal[i] for i in ids]), " ".join([tokens[i] for i in ids])
+    def part(self, ids: list[int] | np.ndarray) -> Part:
+        ids = np.asarray(ids, np.int32)
+        return len(ids), " ".join(self.decimal[ids].tolist()), " ".join(self.tokens[ids].tolist())
 
     @staticmethod
     def together(parts: list[Part]) -> Part:
@@ -254,24 +259,26 @@ class Words:
         )
 
     @staticmethod
-    def cost(word: str, part: Part) -> int:
-        """About how many bytes a remembered word takes: four strings and tuples beside its text."""
-        return 400 + 4 * len(word) + len(part[1]) + 4 * len(part[2])
+    def cost(word: str, ids: bytes | Part) -> int:
+        """About how many bytes a remembered word takes, whose ids are given packed or as a part."""
+        return ENTRY + sys.getsizeof(word) + (len(ids) if isinstance(ids, bytes) else 4 * ids[0])
 
     def encode(self, texts: list[str]) -> list[Part]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         known, before, new, size = self.known, self.before, [], self.size
         for w in set(chain.from_iterable(split)).difference(known):
             if w in before:
-                known[w] = part = before[w]
-                size += self.cost(w, part)
+                known[w] = ids = before[w]
+                size += self.cost(w, ids)
             else:
                 new.append(w)
         made = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        parts = [self.part(m.ids) for m in made]
-        known.update(zip(new, parts))
-        joined = [self.together([known[w] for w in words]) for words in split]
-        self.size = size + sum(map(self.cost, new, parts))
+        packed = [array("i", m.ids).tobytes() for m in made]
+        known.update(zip(new, packed))
+        joined = [
+            self.part(np.frombuffer(b"".join([known[w] for w in words]), np.int32)) for words in split
+        ]
+        self.size = size + sum(map(self.cost, new, packed))
         for w in new:
             if len(w) > LONG:
                 self.size -= self.cost(w, known.pop(w))
