@@ -567,3 +567,46 @@ def test_checksums_are_of_contents(frame, spark, tmp_path, rows):
     written = export_csv({"t": table}, str(tmp_path))
     kept = read_csv(spark, written["t"], table)
     assert rows(unchanged(checksums({"t": table}), checksums({"t": kept}))) == [("t", True)]
+
+
+def test_few_days_are_written_without_a_shuffle(spark, tmp_path):
+    days = [FIRST + dt.timedelta(days=i) for i in range(20)]
+    w = Warehouse(spark, str(tmp_path))
+
+    def deal(count):
+        day = F.element_at(F.array(*map(F.lit, days[:count])), F.expr(f"cast(id % {count} as int) + 1"))
+        rows = spark.range(0, 400, 1, 4).select(day.alias(BATCH), F.col("id").alias("raw_id"))
+        for f in S.RAW_RETURNS.fields:
+            if f.name not in ("raw_id", "loaded_at"):
+                rows = rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+        return rows
+
+    def files(name):
+        return [f for f in w.read("raw_returns").inputFiles() if f"delivery={name}" in f]
+
+    w.land("raw_returns", deal(2), delivery="few", few_days=True)
+    w.land("raw_returns", deal(20), delivery="many")
+    assert len(files("few")) == 8  # 4 tasks, 2 days each
+    assert len(files("many")) == 20
+    assert w.read("raw_returns").count() == 800
+    assert w.has_few_days("raw_returns", None, days[15]) and w.has_few_days("raw_returns", days[4], days[-1])
+    assert not w.has_few_days("raw_returns", None, days[-1])
+    assert w.has_few_days("raw_marketing_spend", None, days[-1])
+
+
+def test_compressed_export_reads_back(spark, tmp_path, rows):
+    table = spark.createDataFrame([(i, "a\nb" if i % 2 else "") for i in range(500)], "a int, b string")
+    written = export_csv({"t": table}, str(tmp_path), compression="gzip")
+    assert list((tmp_path / "t").glob("*.csv.gz"))
+    assert rows(read_csv(spark, written["t"], table)) == rows(table)
+
+
+def test_sales_export_shuffles_no_lines_to_people(spark, tmp_path):
+    from tillmetrics.sources.market import GIVEN, Market
+
+    for name, schema in GIVEN.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = Market(spark, str(tmp_path)).raw_sales_export._jdf.queryExecution().optimizedPlan()
+    lines = [x for x in plan.toString().splitlines() if "Join" in x]
+    assert "order_id" in lines[1] or "product_id" in lines[0]  # people join below both
+    assert not any("account_id" in x for x in lines[:2])
