@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
+from test_skew import as_if_large
 
+from tillmetrics import RETAIL
 from tillmetrics.checks.catalog import QUERIES
+from tillmetrics.operators import clean, lookup
 from tillmetrics.session import prepare
-from tillmetrics.sources.market import GIVEN
+from tillmetrics.sources.market import GIVEN, Market
 
 D = "cast({} as decimal(10,2))"
 
@@ -92,3 +97,84 @@ def test_a_second_append_changes_nothing(spark, given):
     while (left := shuffle_files(spark) - before) and time.time() < until:
         time.sleep(0.2)
     assert not left
+
+
+def test_lines_are_shuffled_without_their_id(spark, given):
+    m = Market(spark, given)
+    for frame in (m.raw_sales_export, m.orders, m.returns, m.raw_returns_export):
+        joins = frame._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+        assert "line_hash" in joins and "line_id" not in joins and "returned" not in joins.split("Filter")[0]
+
+
+def test_due_returns_are_those_of_the_full_export(spark, given, rows):
+    m = Market(spark, given)
+    lag = m.settings.return_lag_days
+    days = spark.createDataFrame([(dt.date(1998, 2, 1 + i),) for i in range(4)], "date date")
+    booked = m.orders.filter("order_line_id % 3 > 0")  # ids come twice, as lines do
+    headers = m.headers.join(days.select(F.date_sub("date", lag).alias("order_day")), "order_day", "left_semi")
+    due = m.returns_due(headers, booked)
+    full = m.raw_returns_export.join(days.withColumnRenamed("date", "exported_on"), "exported_on", "left_semi")
+    full = full.join(booked, "order_line_id", "left_semi")
+    assert due.columns == m.raw_returns_export.columns
+    assert rows(due) == rows(full, *due.columns) and 20 < len(rows(full)) < m.raw_returns_export.count()
+
+
+def test_returns_of_few_orders_shuffle_no_lines(spark, given, tmp_path):
+    m = Market(spark, given)
+    m.headers.limit(3).write.parquet(f"{tmp_path}/headers")
+    headers = spark.read.schema(m.headers.schema).parquet(f"{tmp_path}/headers")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 8 << 10)
+    try:
+        plan = plan_of(m.returns_due(headers, m.orders))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin [order_id" in plan, plan
+
+
+def test_copies_meet_where_they_met_their_customer(spark):
+    """Rows without an email are copies only of those that lack it alike; one shuffle of rows in all."""
+    emails = [None, "", None, "", "c@x", "c@x", "C@x", "who@x", None, "z@x"]
+    sales = spark.createDataFrame(
+        [(i, 1 if i < 8 else 2, e) for i, e in enumerate(emails)], "raw_id bigint, order_id bigint, customer_email string"
+    ).selectExpr(
+        "*",
+        "'2026-01-05' as order_date",
+        "'p' as product_name",
+        "if(raw_id in (1, 5), 'nothing', 'books') as category",
+        "1 as quantity",
+        f"{D.format(2)} as unit_price",
+        "cast(null as decimal(4,3)) as discount",
+    )
+    customers = spark.createDataFrame([(7, "c@x"), (5, "c@x"), (9, "z@x")], "customer_id bigint, email string")
+    products = spark.createDataFrame([(3, "Books", "p")], "product_id bigint, category string, product_name string")
+    with as_if_large(spark):
+        labelled = clean.label_sales(sales, customers, products, RETAIL.categories, -1)
+        plan = plan_of(labelled)
+        found = {r["raw_id"]: (r["customer_id"], r["copies"], r["reject_reason"]) for r in labelled.collect()}
+        few = clean.label_sales(sales, customers, products, RETAIL.categories, -1, (), True)
+        assert sorted(map(tuple, few.collect())) == sorted(map(tuple, labelled.collect()))
+    assert found == {
+        0: (-1, 2, None),
+        1: (-1, 2, "unmatched_category"),
+        4: (7, 2, None),
+        6: (-1, 1, None),
+        7: (-1, 1, None),
+        8: (-1, 1, None),
+        9: (9, 1, None),
+    }
+    keys = re.findall(r"Exchange hashpartitioning\((\w+)#", plan)
+    # rows to customers and to products; ids of each grouped and to the rows
+    assert sorted(keys) == ["_key", "_key", "_key", "_key", "category", "email"], plan
+
+
+def test_a_broadcast_is_measured(spark):
+    names = spark.range(2000).selectExpr("'Books' as category", "concat('name ', id) as product_name", "id as product_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for most, fits in (("1m", True), ("64k", False), (str(1 << 20), True), ("-1", False)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+            assert lookup.fits_broadcast(lookup.product_ids(names)) == fits, most
+            assert lookup.fits_broadcast(names.limit(0)) == (most != "-1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
