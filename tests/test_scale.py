@@ -13,7 +13,9 @@ from test_skew import as_if_large
 from tillmetrics import RETAIL
 from tillmetrics.checks.catalog import QUERIES
 from tillmetrics.operators import clean, lookup
+from tillmetrics.plans import views
 from tillmetrics.session import prepare
+from tillmetrics.sources.export import checksums, export_csv, read_csv, unchanged, watched
 from tillmetrics.sources.market import GIVEN, Market
 
 D = "cast({} as decimal(10,2))"
@@ -178,3 +180,62 @@ def test_a_broadcast_is_measured(spark):
             assert lookup.fits_broadcast(names.limit(0)) == (most != "-1")
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_watched_rows_have_the_checksums_of_their_files(spark, tmp_path, rows):
+    some = spark.range(0, 3000, 1, 4).selectExpr(
+        "id", "if(id % 5 = 0, null, concat('a\\\\', id, char(31))) as t", f"{D.format('id / 7 - 50')} as m",
+        "cast(id as decimal(30,4)) as wide", "date_add(date'2020-01-01', cast(id as int)) as d",
+    )
+    relations = {"some": some, "grouped": some.groupBy("t").agg(F.sum("m").alias("m")), "none": some.limit(0)}
+    kept, found = watched(relations)
+    assert {n: f.columns for n, f in kept.items()} == {n: f.columns for n, f in relations.items()}
+    written = export_csv(kept, str(tmp_path), compression="gzip")
+    expected = checksums(relations)
+    assert rows(found()) == rows(expected)
+    assert rows(found(), "relation", "rows") == [("grouped", 2401), ("none", 0), ("some", 3000)]
+    assert found().dtypes == expected.dtypes
+    read = checksums({n: read_csv(spark, p, relations[n]) for n, p in written.items()})
+    assert {same for _, same in rows(unchanged(found(), read))} == {True}
+    changed = checksums({"some": some.withColumn("m", F.when(F.col("id") == 7, F.lit(1)).otherwise(F.col("m")))})
+    assert rows(unchanged(found().filter("relation = 'some'"), changed)) == [("some", False)]
+
+
+def test_checksums_are_sums_of_md5(spark, rows):
+    import hashlib
+
+    values = [(1, "x"), (2, None), (2, None), (-3, "")]
+    a = b = 0
+    for n, t in values:
+        digest = hashlib.md5("\x1f".join([f"={n}", "~" if t is None else f"={t}"]).encode()).hexdigest()
+        a, b = a + int(digest[:15], 16), b + int(digest[16:31], 16)
+    found = checksums({"t": spark.createDataFrame(values, "a int, b string")})
+    assert rows(found) == [("t", 4, str(a), str(b))]
+
+
+def test_exported_files_are_read_once(spark, given):
+    result = QUERIES["export_csv_roundtrip"](spark, given)
+    plan = plan_of(result)
+    assert "FileScan csv" not in plan and plan.count("FileScan parquet") <= 2
+    found = result.collect()
+    assert len(found) == 16 and all(r["same"] for r in found)
+    held = {r["relation"]: r["rows"] for r in found}
+    m = Market(spark, given)
+    assert held["raw_sales_export"] == m.raw_sales_export.count() > held["fact_orders"] == m.orders.count()
+
+
+def test_return_views_share_one_aggregate(spark, given, tmp_path, rows):
+    star = Market(spark, given).star()
+    kept = []
+
+    def keep(name, frame):
+        kept.append(name)
+        frame.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.schema(frame.schema).parquet(f"{tmp_path}/{name}")
+
+    shown = views.views(star, keep)
+    assert kept == ["outcomes_by_day"]
+    for name in ("vw_return_summary", "vw_return_weekly"):
+        assert rows(shown[name]) == rows(views.views(star)[name]) != []
+        assert shown[name].schema == views.views(star)[name].schema
+    assert "order_line_id" not in plan_of(shown["vw_return_summary"])
